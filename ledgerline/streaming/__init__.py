@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch only (restated filings are handled by the dedupe)."""
