@@ -6,11 +6,16 @@ integer cents. ``fixtures.adapter_sql`` states the same rules for DuckDB.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.dims import TAG_ALIASES, alias_dim
 from ledgerline.operators.aliases import resolve_aliases
+from ledgerline.schemas import RAW_FACTS
+from ledgerline.session import shared_dir
+from ledgerline.sources.landing import RAW_FILES, read_raw, write_raw
 
 EXTRA_TICKER = "S-NONE"  # R9: in the company list, without data
 
@@ -51,73 +56,106 @@ def quarter_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reported facts with restatements, annual totals, foreign forms and alternative tags."""
-    k = F.col("k")
-    lag_days = (k % 5 + 35).cast("int")
-    march = F.month("qe") == 3
-    first_filed = F.date_add("qe", F.when((k % 9 == 0) & march, lag_days + 91).otherwise(lag_days))
-    restated = F.date_add("qe", (k % 5 + 400).cast("int"))
-    closing = F.col("complete") & (F.col("qe") == F.col("fy_last"))
-    interim = ~closing
-    even, with_da = k % 2 == 0, k != 11
-
-    def fact(keep: Column, concept: str, form: str, start: Column, filed: Column, val: Column, alias: int = 0):
-        row = F.struct(
-            F.lit(concept).alias("concept"),
-            F.lit(TAG_ALIASES[concept][alias]).alias("tag"),
-            F.lit(form).alias("form"),
-            start.cast("string").alias("start"),
-            filed.cast("string").alias("filed"),
-            val.cast("bigint").alias("val"),
+    k, qe = F.col("k"), F.col("qe")
+    march, june = F.month("qe") == 3, F.month("qe") == 6
+    with_da = k != 11
+    null_date = F.lit(None).cast("date")
+
+    def item(concept: str, val: Column, keep: Column, year: Column | None = None) -> Column:
+        tags = TAG_ALIASES[concept]
+        return F.when(
+            keep,
+            F.struct(
+                F.lit(concept).alias("concept"),
+                F.lit(tags[0]).alias("tag"),
+                # R8: some companies report revenue under a second tag as well
+                F.when((k % 6 == 0) & F.lit(concept == "revenues"), F.lit(tags[-1])).alias("second_tag"),
+                val.cast("bigint").alias("val"),
+                (F.lit(None) if year is None else year).cast("bigint").alias("year_val"),
+                F.lit(year is not None).alias("flow"),
+            ),
         )
-        return F.when(keep, row)
-
-    flows = {"revenues": "rev", "operating_income": "opi", "net_income": "net", "depreciation_amortization": "da"}
-    none, always = F.lit(None), F.lit(True)
-    rows = []
-    for concept, c in flows.items():
-        has = with_da if c == "da" else always
-        bump = F.when(k % 3 == 0, 1).otherwise(0) if c == "rev" else F.lit(0)
-        versions = [
-            (has & interim, "10-Q", F.col("qs"), first_filed, F.col(c)),  # R1
-            (has & interim & even, "10-Q", F.col("qs"), restated, F.col(c) + bump),  # R2
-            (  # R3
-                has & closing & ~((k % 10 == 9) & (F.col("fy") >= 2001)),
-                "10-K",
-                F.col("fy_start"),
-                F.date_add("qe", 60),
-                F.col(f"fy_{c}"),
+
+    always = F.lit(True)
+    small_liabilities = F.when((k % 17 == 0) & june, 0).otherwise(F.col("opi"))
+    items = F.array(
+        item("revenues", F.col("rev"), always, F.col("fy_rev")),
+        item("operating_income", F.col("opi"), always, F.col("fy_opi")),
+        item("net_income", F.col("net"), always, F.col("fy_net")),
+        item("depreciation_amortization", F.col("da"), with_da, F.col("fy_da")),
+        # R5 and R6: balances, some of them missing
+        item("assets", F.col("run_rev") + F.col("run_opi"), ~((k % 13 == 0) & march)),
+        item("assets_current", F.col("rev"), always),
+        item("liabilities", F.col("run_rev"), k % 5 != 0),
+        item("liabilities_current", small_liabilities, always),
+        item("stockholders_equity", F.col("run_opi"), always),
+        item("long_term_debt", F.col("net"), k % 7 != 0),
+        item("short_term_debt", F.col("da"), always),
+        item("cash_and_equivalents", F.floor(F.col("net") / 2), always),
+    )
+    itemised = quarter_base(spark, sf_dir).withColumn("i", F.explode(items)).filter("i is not null")
+
+    flow, val = F.col("i.flow"), F.col("i.val")
+    closing = F.col("complete") & (qe == F.col("fy_last"))
+    lag_days = (k % 5 + 35).cast("int")
+    # R7: some March quarters are filed together with June's
+    filed = F.date_add("qe", F.when((k % 9 == 0) & march, lag_days + 91).otherwise(lag_days))
+    bump = F.when((k % 3 == 0) & (F.col("i.concept") == "revenues"), 1).otherwise(0)
+
+    def version(keep: Column, form: str, start: Column, filed_on: Column, amount: Column) -> Column:
+        return F.when(
+            keep,
+            F.struct(
+                F.lit(form).alias("form"),
+                start.alias("start"),
+                filed_on.alias("filed"),
+                amount.cast("bigint").alias("val"),
             ),
-        ]
-        rows += [fact(keep, concept, *rest) for keep, *rest in versions]
-        foreign = has & interim & (k % 4 == 0)  # R4
-        rows.append(fact(foreign, concept, "8-K", F.col("qs"), F.date_add("qe", 500), F.lit(0)))
-        if c == "rev":  # R8
-            for keep, form, start, filed, val in versions:
-                rows.append(fact(keep & (k % 6 == 0), concept, form, start, filed, val + 7, alias=1))
-    instants = {  # R5, R6
-        "assets": (~((k % 13 == 0) & march), F.col("run_rev") + F.col("run_opi")),
-        "assets_current": (always, F.col("rev")),
-        "liabilities": (k % 5 != 0, F.col("run_rev")),
-        "liabilities_current": (
-            always,
-            F.when((k % 17 == 0) & (F.month("qe") == 6), 0).otherwise(F.col("opi")),
+        )
+
+    versions = F.array(
+        # R1 for flows, R5 for balances
+        version(~flow | ~closing, "10-Q", F.when(flow, F.col("qs")).otherwise(null_date), filed, val),
+        # R2
+        version(
+            flow & ~closing & (k % 2 == 0),
+            "10-Q",
+            F.col("qs"),
+            F.date_add("qe", (k % 5 + 400).cast("int")),
+            val + bump,
         ),
-        "stockholders_equity": (always, F.col("run_opi")),
-        "long_term_debt": (k % 7 != 0, F.col("net")),
-        "short_term_debt": (with_da, F.col("da")),
-        "cash_and_equivalents": (always, F.floor(F.col("net") / 2)),
-    }
-    rows += [fact(keep, concept, "10-Q", none, first_filed, val) for concept, (keep, val) in instants.items()]
-
-    entries = quarter_base(spark, sf_dir).select(
-        F.concat(F.lit("S"), k.cast("string")).alias("ticker"),
-        F.col("fy").cast("int").alias("fy"),
-        F.concat(F.lit("Q"), F.quarter("qe")).alias("fp"),
-        F.col("qe").cast("string").alias("end"),
-        F.explode(F.array_compact(F.array(*rows))).alias("f"),
+        # R3
+        version(
+            flow & closing & ~((k % 10 == 9) & (F.col("fy") >= 2001)),
+            "10-K",
+            F.col("fy_start"),
+            F.date_add("qe", 60),
+            F.col("i.year_val"),
+        ),
+        # R4
+        version(flow & ~closing & (k % 4 == 0), "8-K", F.col("qs"), F.date_add("qe", 500), F.lit(0)),
+    )
+    filings = itemised.withColumn("v", F.explode(versions)).filter("v is not null")
+    second = (F.col("v.form") != "8-K") & F.col("i.second_tag").isNotNull()
+    tagged = F.array(
+        F.struct(F.col("i.tag").alias("tag"), F.lit(0).alias("plus")),
+        F.when(second, F.struct(F.col("i.second_tag").alias("tag"), F.lit(7).alias("plus"))),
     )
-    return entries.select(
-        "ticker", "f.concept", "f.tag", "f.form", "fy", "fp", "f.start", "end", "f.filed", "f.val"
+    return (
+        filings.withColumn("t", F.explode(tagged))
+        .filter("t is not null")
+        .select(
+            F.concat(F.lit("S"), k.cast("string")).alias("ticker"),
+            "i.concept",
+            "t.tag",
+            "v.form",
+            F.col("fy").cast("int").alias("fy"),
+            F.concat(F.lit("Q"), F.quarter("qe")).alias("fp"),
+            F.col("v.start").cast("string").alias("start"),
+            qe.cast("string").alias("end"),
+            F.col("v.filed").cast("string").alias("filed"),
+            (F.col("v.val") + F.col("t.plus")).alias("val"),
+        )
     )
 
 
@@ -186,23 +224,105 @@ def raw_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every supplier plus one company that reports nothing."""
+    """Every supplier plus one company that reports nothing: position, ticker, name, number."""
     listed = _table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("int").alias("position"),
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
+        F.col("s_name").alias("name"),
+        F.col("s_suppkey").cast("string").alias("number"),
     )
-    return listed.unionByName(spark.createDataFrame([(-1, EXTRA_TICKER)], "position int, ticker string"))
+    silent = spark.createDataFrame(
+        [(-1, EXTRA_TICKER, "No filings", "0")], "position int, ticker string, name string, number string"
+    )
+    return listed.unionByName(silent)
 
 
-def resolved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve_aliases(raw_facts(spark, sf_dir), alias_dim(spark))
+# ---- the raw tables as landed files ---------------------------------------------------
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The raw tables as they look after ingestion, i.e. with one tag per concept."""
-    return {
-        "raw_edgar_facts": resolved_facts(spark, sf_dir),
+_LANDED: set[str] = set()  # directories whose landing completed
+
+
+def _raw_dir(spark: SparkSession, sf_dir: str) -> str:
+    tag = hashlib.md5(sf_dir.encode()).hexdigest()
+    return f"{shared_dir(spark).rstrip('/')}/ledgerline-raw-{spark.sparkContext.applicationId}/{tag}"
+
+
+def _entries_path(spark: SparkSession, sf_dir: str) -> str:
+    return f"{_raw_dir(spark, sf_dir)}/fact_entries.parquet"
+
+
+def land(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """Extract and land: write the unresolved entries and the four raw tables, return row counts."""
+    entries = _entries_path(spark, sf_dir)
+    counts = {"fact_entries": write_raw(raw_facts(spark, sf_dir), entries)}
+    tables = {
+        "raw_edgar_facts": resolve_aliases(spark.read.schema(RAW_FACTS).parquet(entries), alias_dim(spark)),
         "raw_yfinance_prices": raw_prices(spark, sf_dir),
         "raw_yfinance_valuation_snapshot": raw_snapshot(spark, sf_dir),
         "raw_fred_series": raw_series(spark, sf_dir),
     }
+    for name, frame in tables.items():
+        counts[name] = write_raw(frame, f"{_raw_dir(spark, sf_dir)}/{RAW_FILES[name]}")
+    return counts
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The landed raw tables, one tag per concept; landed on first use in a session."""
+    path = _raw_dir(spark, sf_dir)
+    found = read_raw(spark, path) if path in _LANDED else {}
+    if len(found) < len(RAW_FILES):
+        land(spark, sf_dir)
+        _LANDED.add(path)
+        found = read_raw(spark, path)
+    return found
+
+
+def fact_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed entries before alias resolution."""
+    raw_tables(spark, sf_dir)
+    return spark.read.schema(RAW_FACTS).parquet(_entries_path(spark, sf_dir))
+
+
+# ---- the same inputs as landed documents ----------------------------------------------
+
+
+def concept_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ticker, tag, payload): one JSON document per entry; foreign forms sit under another unit."""
+    entry = F.struct("start", "end", "val", "fy", "fp", "form", "filed")
+    usd = F.when(F.col("form") != "8-K", F.array(entry))
+    other = F.when(F.col("form") == "8-K", F.array(entry))
+    units = F.struct(F.struct(usd.alias("USD"), other.alias("shares")).alias("units"))
+    return fact_entries(spark, sf_dir).select("ticker", "tag", F.to_json(units).alias("payload"))
+
+
+def series_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(series_id, payload): one JSON document per observation."""
+    document = F.struct(F.array(F.struct("date", "value")).alias("observations"))
+    return observations(spark, sf_dir).select("series_id", F.to_json(document).alias("payload"))
+
+
+def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ticker, payload): flat JSON with some keys missing."""
+    key = F.col("s_suppkey")
+    document = F.struct(
+        (key * 1000 + 1_000_000).alias("sharesOutstanding"),
+        F.when(key % 3 == 0, F.round(F.col("s_acctbal") * 100).cast("bigint")).alias("marketCap"),
+        F.when(key % 4 == 0, (key % 50) * 0.5).alias("trailingPE"),
+        F.lit("x").alias("sector"),
+    )
+    return _table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), key.cast("string")).alias("ticker"), F.to_json(document).alias("payload")
+    )
+
+
+def price_download(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily prices under the provider's compound headers, with columns to ignore."""
+    prices = raw_tables(spark, sf_dir)["raw_yfinance_prices"]
+    return prices.select(
+        F.col("date").alias("Date"),
+        F.col("close").alias("('Close', 'ALL')"),
+        (F.col("close") + 1).alias("('High', 'ALL')"),
+        F.col("volume").alias("('Volume', 'ALL')"),
+        "ticker",
+    )

@@ -57,8 +57,12 @@ TAG_ALIASES = {
 def company_dim(spark: SparkSession, companies: Iterable[tuple[str, str, str]] = COMPANIES) -> DataFrame:
     """position, ticker, name and the registry number padded to ten digits."""
     rows = [(pos, *company) for pos, company in enumerate(companies)]
-    raw = spark.createDataFrame(rows, "position int, ticker string, name string, number string")
-    return raw.select("position", "ticker", "name", F.lpad("number", 10, "0").alias("cik"))
+    return padded_ids(spark.createDataFrame(rows, "position int, ticker string, name string, number string"))
+
+
+def padded_ids(listed: DataFrame) -> DataFrame:
+    """A company list (position, ticker, name, number) with the ten-digit identifier ``cik``."""
+    return listed.select("position", "ticker", "name", F.lpad(F.col("number").cast("string"), 10, "0").alias("cik"))
 
 
 def company_names(companies: Iterable[tuple[str, str, str]] = COMPANIES) -> dict[str, str]:

@@ -60,8 +60,10 @@ def month_start(value: Column | str) -> Column:
 
 
 def signed_fixed(value: Column | str, digits: int, signed: bool = False) -> Column:
-    """Fixed-point text such as ``+1.25``; half-up rounding."""
-    return F.format_string(f"%{'+' if signed else ''}.{digits}f", _col(value))
+    """Fixed-point text such as ``+1.25``, null for null; half-up rounding."""
+    value = _col(value)
+    # format_string would print a null as (truncated) text
+    return F.when(value.isNotNull(), F.format_string(f"%{'+' if signed else ''}.{digits}f", value))
 
 
 def iso_date(value: Column | str) -> Column:

@@ -20,10 +20,11 @@ def resample_last(df: DataFrame, key: str, time: str, columns: Sequence[str]) ->
     lasts = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(c) for c in columns]
     monthly = df.groupBy(F.col(key), month_start(time).alias("_month")).agg(*lasts)
 
-    following = F.lead("_month").over(Window.partitionBy(key).orderBy("_month"))
-    span_end = F.coalesce(F.add_months(following, -1), F.col("_month"))
+    # Each month fills the gap up to the next one; an added month holds nulls.
+    spaced = monthly.withColumn("_next", F.lead("_month").over(Window.partitionBy(key).orderBy("_month")))
+    span_end = F.coalesce(F.add_months("_next", -1), F.col("_month"))
     grid = F.explode(F.sequence(F.col("_month"), span_end, F.expr("interval 1 month"))).alias(time)
-    return monthly.select(key, "_month", *columns, grid).select(
+    return spaced.select(key, "_month", *columns, grid).select(
         key, time, *[F.when(F.col(time) == F.col("_month"), F.col(c)).alias(c) for c in columns]
     )
 
