@@ -7,6 +7,7 @@ integer cents. ``fixtures.adapter_sql`` states the same rules for DuckDB.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -267,20 +268,20 @@ def land(spark: SparkSession, sf_dir: str) -> dict[str, int]:
     return counts
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The landed raw tables, one tag per concept; landed on first use in a session."""
+def raw_tables(spark: SparkSession, sf_dir: str, tables: Iterable[str] = tuple(RAW_FILES)) -> dict[str, DataFrame]:
+    """Landed raw tables, one tag per concept; all are landed on first use in a session."""
     path = _raw_dir(spark, sf_dir)
-    found = read_raw(spark, path) if path in _LANDED else {}
-    if len(found) < len(RAW_FILES):
+    found = read_raw(spark, path, tables) if path in _LANDED else {}
+    if any(name not in found for name in tables):
         land(spark, sf_dir)
         _LANDED.add(path)
-        found = read_raw(spark, path)
+        found = read_raw(spark, path, tables)
     return found
 
 
 def fact_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed entries before alias resolution."""
-    raw_tables(spark, sf_dir)
+    raw_tables(spark, sf_dir, ["raw_edgar_facts"])
     return spark.read.schema(RAW_FACTS).parquet(_entries_path(spark, sf_dir))
 
 
@@ -318,7 +319,7 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_download(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily prices under the provider's compound headers, with columns to ignore."""
-    prices = raw_tables(spark, sf_dir)["raw_yfinance_prices"]
+    prices = raw_tables(spark, sf_dir, ["raw_yfinance_prices"])["raw_yfinance_prices"]
     return prices.select(
         F.col("date").alias("Date"),
         F.col("close").alias("('Close', 'ALL')"),

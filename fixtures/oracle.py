@@ -142,7 +142,7 @@ RELATIONS["facts"] = """
            CAST(date_diff('day', CAST("start" AS DATE), CAST("end" AS DATE)) AS INTEGER) AS period_length_days
     FROM raw_facts WHERE form = '10-Q' OR form = '10-K'
     QUALIFY row_number() OVER (PARTITION BY ticker, concept, ifnull("start", ''), "end"
-        ORDER BY filed DESC NULLS LAST, form ASC NULLS LAST, fy DESC NULLS LAST, fp ASC NULLS LAST, tag ASC NULLS LAST,
+        ORDER BY filed DESC NULLS LAST, form ASC NULLS FIRST, fy DESC NULLS LAST, fp ASC NULLS FIRST, tag ASC NULLS FIRST,
                  val DESC NULLS LAST) = 1"""
 
 RELATIONS["prices"] = """
@@ -300,7 +300,7 @@ def _fit(y: str, source: str, by: str = "", extra: str = "") -> str:
     return f"""
     SELECT {lead}{extra} n, round(beta, 6) AS beta, round(r2, 6) AS r2, round({_p_value("n", "r2")}, 6) AS pvalue
     FROM (SELECT {lead}{extra.replace("n_companies", "count(DISTINCT ticker) AS n_companies")}
-                 regr_count({y}, rate_change_pp) AS n,
+                 CAST(regr_count({y}, rate_change_pp) AS BIGINT) AS n,
                  CASE WHEN regr_count({y}, rate_change_pp) >= 6 AND regr_sxx({y}, rate_change_pp) > 0
                       THEN regr_slope({y}, rate_change_pp) END AS beta,
                  CASE WHEN regr_count({y}, rate_change_pp) >= 6 AND regr_sxx({y}, rate_change_pp) > 0

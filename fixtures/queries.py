@@ -44,16 +44,22 @@ def rounded(df: DataFrame, digits: int = FIT_DIGITS, skip: tuple[str, ...] = ())
 # ---- shared frames --------------------------------------------------------------------
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return warehouse.stage_all(adapter.raw_tables(spark, sf_dir))
+FACTS = "raw_edgar_facts"
+PRICES = "raw_yfinance_prices"
+SNAPSHOT = "raw_yfinance_valuation_snapshot"
+SERIES = "raw_fred_series"
+
+
+def _staged(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
+    return warehouse.stage_all(adapter.raw_tables(spark, sf_dir, tables))
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged(spark, sf_dir)["stg_edgar_facts"]
+    return _staged(spark, sf_dir, FACTS)["stg_edgar_facts"]
 
 
 def _quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse.quarterly_marts(_staged(spark, sf_dir))["fct_financials_quarterly"]
+    return warehouse.quarterly_marts(_staged(spark, sf_dir, FACTS))["fct_financials_quarterly"]
 
 
 def _quarters_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +69,7 @@ def _quarters_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _valuation(spark: SparkSession, sf_dir: str, quarters: DataFrame | None = None) -> DataFrame:
     quarters = _quarters_table(spark, sf_dir) if quarters is None else quarters
-    return warehouse.valuation_mart(_staged(spark, sf_dir), quarters)
+    return warehouse.valuation_mart(_staged(spark, sf_dir, PRICES, SNAPSHOT, SERIES), quarters)
 
 
 def _marts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -114,7 +120,7 @@ def alias_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def missing_concepts_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     companies = adapter.companies(spark, sf_dir)
-    return missing_concepts(adapter.raw_tables(spark, sf_dir)["raw_edgar_facts"], companies, TAG_ALIASES)
+    return missing_concepts(adapter.raw_tables(spark, sf_dir, [FACTS])[FACTS], companies, TAG_ALIASES)
 
 
 @register
@@ -143,17 +149,17 @@ def stage_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stage_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged(spark, sf_dir)["stg_yfinance_prices"]
+    return _staged(spark, sf_dir, PRICES)["stg_yfinance_prices"]
 
 
 @register
 def stage_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged(spark, sf_dir)["stg_fred_series"]
+    return _staged(spark, sf_dir, SERIES)["stg_fred_series"]
 
 
 @register
 def stage_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged(spark, sf_dir)["stg_yfinance_valuation_snapshot"]
+    return _staged(spark, sf_dir, SNAPSHOT)["stg_yfinance_valuation_snapshot"]
 
 
 # ---- marts ----------------------------------------------------------------------------
@@ -186,7 +192,7 @@ def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def asof_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = _staged(spark, sf_dir)["stg_yfinance_prices"].select("ticker", "price_date", "close_price")
+    prices = _staged(spark, sf_dir, PRICES)["stg_yfinance_prices"].select("ticker", "price_date", "close_price")
     return asof_join(
         prices,
         _quarters_table(spark, sf_dir),
@@ -200,7 +206,7 @@ def asof_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def asof_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir)
+    staged = _staged(spark, sf_dir, PRICES, SERIES)
     prices = staged["stg_yfinance_prices"].select("ticker", "price_date")
     rate = staged["stg_fred_series"].filter(F.col("series_id") == POLICY_RATE)
     return asof_join(prices, rate, "price_date", "obs_date", {"obs_date": "obs_date", "value": "value"})
@@ -213,7 +219,7 @@ def valuation_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def not_null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir)
+    staged = _staged(spark, sf_dir, FACTS, PRICES, SNAPSHOT, SERIES)
     marts = warehouse.quarterly_marts(staged)
     quarters = cut_lineage(marts["fct_financials_quarterly"], "fct_financials_quarterly")
     marts |= {

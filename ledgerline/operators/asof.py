@@ -94,5 +94,7 @@ def _join_by_day(
     intervals = versions.withColumn("_to", F.lead("_from").over(Window.orderBy("_from")))
     days = F.sequence(F.col("_from"), F.coalesce(F.date_sub("_to", 1), F.col("_from")))
     listed = intervals.select("_hit", F.explode(days).alias("_day"))
-    slotted = left.withColumn("_slot", F.least(F.col(left_time), last_seen))
+    # least() skips nulls, and a null time must match nothing.
+    folded = F.when(F.col(left_time).isNotNull(), F.least(F.col(left_time), last_seen))
+    slotted = left.withColumn("_slot", folded)
     return slotted.join(F.broadcast(listed), F.col("_slot") == F.col("_day"), "left")

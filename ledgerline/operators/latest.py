@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One whole row per key: the first under ``order``.
 
     ``row_number() = 1`` plans a map-side group limit, so each task ships at most one row per

@@ -20,5 +20,5 @@ def conditional_pivot(
 
     One hash aggregation with map-side combine; no pass to discover categories.
     """
-    cells = [F.max(F.when(F.col(category) == cat, F.col(value))).alias(out) for cat, out in targets.items()]
+    cells = [F.expr(f"max(if(`{category}` = '{cat}', `{value}`, null)) as `{out}`") for cat, out in targets.items()]
     return df.groupBy(*keys).agg(*extra, *cells)

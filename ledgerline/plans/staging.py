@@ -22,53 +22,31 @@ def stage_facts(raw: DataFrame) -> DataFrame:
     newest = latest_by(
         reported,
         ["ticker", "concept", "start", "end"],
-        [
-            F.col("filed").desc_nulls_last(),
-            F.col("form").asc_nulls_last(),
-            F.col("fy").desc_nulls_last(),
-            F.col("fp").asc_nulls_last(),
-            F.col("tag").asc_nulls_last(),
-            F.col("val").desc_nulls_last(),
-        ],
+        [F.desc("filed"), "form", F.desc("fy"), "fp", "tag", F.desc("val")],
     )
-    return newest.select(
+    return newest.selectExpr(
         "ticker",
         "concept",
         "tag",
         "form",
         "fy",
         "fp",
-        F.col("start").cast("date").alias("period_start"),
-        F.col("end").cast("date").alias("period_end"),
-        F.col("filed").cast("date").alias("filed"),
+        "cast(start as date) as period_start",
+        "cast(end as date) as period_end",
+        "cast(filed as date) as filed",
         "val",
     ).withColumn("period_length_days", days_between("period_start", "period_end"))
 
 
 def stage_prices(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col("close").isNotNull()).select(
-        "ticker",
-        F.col("date").cast("date").alias("price_date"),
-        F.col("close").alias("close_price"),
-        "volume",
+    return raw.filter("close is not null").selectExpr(
+        "ticker", "cast(date as date) as price_date", "close as close_price", "volume"
     )
 
 
 def stage_series(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col("value").isNotNull()).select(
-        "series_id", F.col("date").cast("date").alias("obs_date"), "value"
-    )
+    return raw.filter("value is not null").selectExpr("series_id", "cast(date as date) as obs_date", "value")
 
 
 def stage_snapshot(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "ticker",
-        "market_cap",
-        "enterprise_value",
-        "trailing_pe",
-        "forward_pe",
-        F.col("ev_to_ebitda").alias("ev_to_ebitda_asof_today"),
-        "shares_outstanding",
-        "total_debt",
-        "total_cash",
-    )
+    return raw.withColumnRenamed("ev_to_ebitda", "ev_to_ebitda_asof_today")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalars import duration_class, either_zero, safe_ratio
+from ledgerline.functions.scalars import duration_class, safe_ratio
 from ledgerline.operators.pivot import conditional_pivot
 
 # Concept -> statement column.
@@ -37,25 +37,23 @@ def balance_sheet(facts: DataFrame) -> DataFrame:
     taken as 0 when absent.
     """
     wide = conditional_pivot(
-        facts.filter(F.col("period_start").isNull()),
+        facts.filter("period_start is null"),
         ["ticker", "period_end"],
         "concept",
         "val",
         INSTANT_ITEMS,
         extra=[F.max("filed").alias("filed_date")],
     )
-    return wide.filter(F.col("total_assets").isNotNull()).select(
+    return wide.filter("total_assets is not null").selectExpr(
         "ticker",
         "period_end",
         "filed_date",
         "total_assets",
         "current_assets",
-        F.coalesce("reported_liabilities", F.col("total_assets") - F.col("stockholders_equity")).alias(
-            "total_liabilities"
-        ),
+        "coalesce(reported_liabilities, total_assets - stockholders_equity) as total_liabilities",
         "current_liabilities",
         "stockholders_equity",
-        (either_zero("long_term_debt") + either_zero("short_term_debt")).alias("total_debt"),
+        "coalesce(long_term_debt, 0) + coalesce(short_term_debt, 0) as total_debt",
         "cash_and_equivalents",
     )
 
@@ -69,9 +67,17 @@ def reporting_periods(facts: DataFrame) -> DataFrame:
     pivoted in one aggregation, and the label is one ordered window per ticker over rows already
     reduced to reporting periods, so no range join is needed.
     """
-    classed = facts.withColumn("span", duration_class("period_length_days")).filter(F.col("span").isNotNull())
+    spans = facts.select(
+        "ticker",
+        "concept",
+        "val",
+        "filed",
+        "period_end",
+        duration_class("period_length_days").alias("span"),
+        F.col("period_start").alias("_start"),
+    )
     wide = conditional_pivot(
-        classed.withColumn("period_start", F.when(F.col("span") == "quarter", F.col("period_start"))),
+        spans.filter("span is not null").withColumn("period_start", F.expr("if(span = 'quarter', _start, null)")),
         ["ticker", "span", "period_start", "period_end"],
         "concept",
         "val",
@@ -80,7 +86,7 @@ def reporting_periods(facts: DataFrame) -> DataFrame:
     )
     # Walking back in time, the last annual end seen is the bucket; years precede quarters on a tie.
     backwards = Window.partitionBy("ticker").orderBy(F.desc("period_end"), F.desc("span"))
-    year_end = F.when(F.col("span") == "year", F.col("period_end"))
+    year_end = F.expr("if(span = 'year', period_end, null)")
     return wide.withColumn("fiscal_year_end", F.last(year_end, ignorenulls=True).over(backwards))
 
 
@@ -90,12 +96,11 @@ def fiscal_year_buckets(facts: DataFrame) -> DataFrame:
     Columns: ticker, fiscal_year_end, prior_fiscal_year_end, quarters, last_quarter_end and the
     sums of the flows (null where no quarter reports the flow).
     """
-    periods = reporting_periods(facts).filter(F.col("fiscal_year_end").isNotNull())
-    quarter = F.col("span") == "quarter"
+    periods = reporting_periods(facts).filter("fiscal_year_end is not null")
     totals = periods.groupBy("ticker", "fiscal_year_end").agg(
-        F.count_if(quarter).alias("quarters"),
-        F.max(F.when(quarter, F.col("period_end"))).alias("last_quarter_end"),
-        *[F.sum(F.when(quarter, F.col(c))).alias(f"{c}_total") for c in FLOWS],
+        F.expr("count_if(span = 'quarter') as quarters"),
+        F.expr("max(if(span = 'quarter', period_end, null)) as last_quarter_end"),
+        *[F.expr(f"sum(if(span = 'quarter', {c}, null)) as {c}_total") for c in FLOWS],
     )
     # Every annual end is a bucket here, so the preceding one is a plain lag.
     prior = F.lag("fiscal_year_end").over(Window.partitionBy("ticker").orderBy("fiscal_year_end"))
@@ -122,24 +127,26 @@ def fiscal_quarters(facts: DataFrame) -> DataFrame:
     partitioning as the labels, so annual and quarterly rows are never joined.
     Columns: ticker, fiscal_year_end, derived, period_start, period_end, filed_date, flows.
     """
-    periods = reporting_periods(facts).filter(F.col("fiscal_year_end").isNotNull())
-    quarter = F.col("span") == "quarter"
-    bucket = Window.partitionBy("ticker", "fiscal_year_end")
-    totalled = periods.withColumns(
-        {
-            "_quarters": F.count_if(quarter).over(bucket),
-            "_third_end": F.max(F.when(quarter, F.col("period_end"))).over(bucket),
-            **{f"_sum_{c}": F.sum(F.when(quarter, F.col(c))).over(bucket) for c in FLOWS},
-        }
+    bucket = "over (partition by ticker, fiscal_year_end)"
+    totalled = (
+        reporting_periods(facts)
+        .filter("fiscal_year_end is not null")
+        .selectExpr(
+            "*",
+            "span = 'year' as derived",
+            f"count_if(span = 'quarter') {bucket} as _quarters",
+            f"max(if(span = 'quarter', period_end, null)) {bucket} as _third_end",
+            *[f"sum(if(span = 'quarter', {c}, null)) {bucket} as _sum_{c}" for c in FLOWS],
+        )
     )
-    return totalled.filter(quarter | (F.col("_quarters") == TRAILING_QUARTERS - 1)).select(
+    return totalled.filter(f"not derived or _quarters = {TRAILING_QUARTERS - 1}").selectExpr(
         "ticker",
         "fiscal_year_end",
-        (~quarter).alias("derived"),
-        F.when(quarter, F.col("period_start")).otherwise(F.col("_third_end")).alias("period_start"),
+        "derived",
+        "if(derived, _third_end, period_start) as period_start",
         "period_end",
         "filed_date",
-        *[F.when(quarter, F.col(c)).otherwise(F.col(c) - F.col(f"_sum_{c}")).alias(c) for c in FLOWS],
+        *[f"if(derived, {c} - _sum_{c}, {c}) as {c}" for c in FLOWS],
     )
 
 
@@ -153,27 +160,26 @@ def income_statement(facts: DataFrame) -> DataFrame:
     The trailing window counts rows, not calendar quarters. Equal period ends are ordered by
     period start.
     """
-    in_year = Window.partitionBy("ticker", "fiscal_year_end").orderBy("period_end", "period_start")
     trailing = (
-        Window.partitionBy("ticker")
-        .orderBy("period_end", "period_start")
-        .rowsBetween(1 - TRAILING_QUARTERS, Window.currentRow)
+        "over (partition by ticker order by period_end, period_start"
+        f" rows between {TRAILING_QUARTERS - 1} preceding and current row)"
     )
     return (
         fiscal_quarters(facts)
-        .filter(F.col("operating_income").isNotNull())
-        .withColumn("ebitda", F.col("operating_income") + either_zero("depreciation_amortization"))
-        .select(
+        .filter("operating_income is not null")
+        .withColumn("ebitda", F.expr("operating_income + coalesce(depreciation_amortization, 0)"))
+        .selectExpr(
             "ticker",
             "fiscal_year_end",
-            F.concat(F.lit("Q"), F.row_number().over(in_year)).alias("fiscal_quarter"),
+            "concat('Q', row_number() over (partition by ticker, fiscal_year_end"
+            " order by period_end, period_start)) as fiscal_quarter",
             "period_start",
             "period_end",
             "filed_date",
             *FLOWS,
             "ebitda",
-            F.sum("ebitda").over(trailing).alias("ebitda_ttm"),
-            F.count(F.lit(1)).over(trailing).alias("trailing_quarters_available"),
+            f"sum(ebitda) {trailing} as ebitda_ttm",
+            f"count(*) {trailing} as trailing_quarters_available",
         )
     )
 
@@ -184,15 +190,15 @@ def financials(balance: DataFrame, income: DataFrame) -> DataFrame:
     The trailing total is shown only when four rows went into it; the row is known from the
     later of the two filings.
     """
-    flows = income.select(
+    flows = income.selectExpr(
         "ticker",
         "period_end",
-        F.col("filed_date").alias("_income_filed"),
+        "filed_date as _income_filed",
         "revenue",
         "operating_income",
         "net_income",
         "ebitda",
-        F.when(F.col("trailing_quarters_available") == TRAILING_QUARTERS, F.col("ebitda_ttm")).alias("ebitda_ttm"),
+        f"if(trailing_quarters_available = {TRAILING_QUARTERS}, ebitda_ttm, null) as ebitda_ttm",
     )
     return balance.join(flows, ["ticker", "period_end"], "left").select(
         "ticker",

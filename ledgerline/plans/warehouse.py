@@ -25,14 +25,17 @@ MART_KEYS = {
 }
 
 
+STAGES = {
+    "raw_edgar_facts": ("stg_edgar_facts", staging.stage_facts),
+    "raw_yfinance_prices": ("stg_yfinance_prices", staging.stage_prices),
+    "raw_fred_series": ("stg_fred_series", staging.stage_series),
+    "raw_yfinance_valuation_snapshot": ("stg_yfinance_valuation_snapshot", staging.stage_snapshot),
+}
+
+
 def stage_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The four staging frames from the four raw tables."""
-    return {
-        "stg_edgar_facts": staging.stage_facts(raw["raw_edgar_facts"]),
-        "stg_yfinance_prices": staging.stage_prices(raw["raw_yfinance_prices"]),
-        "stg_fred_series": staging.stage_series(raw["raw_fred_series"]),
-        "stg_yfinance_valuation_snapshot": staging.stage_snapshot(raw["raw_yfinance_valuation_snapshot"]),
-    }
+    """The staging frame of every raw table given."""
+    return {STAGES[name][0]: STAGES[name][1](frame) for name, frame in raw.items()}
 
 
 def quarterly_marts(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

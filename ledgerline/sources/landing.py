@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -28,12 +28,13 @@ def write_raw(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+def read_raw(spark: SparkSession, raw_dir: str, tables: Iterable[str] = tuple(RAW_FILES)) -> dict[str, DataFrame]:
     """The landed raw tables under their declared schemas; a file not landed yet is skipped."""
     found = {}
-    for table, filename in RAW_FILES.items():
+    for table in tables:
+        path = f"{raw_dir.rstrip('/')}/{RAW_FILES[table]}"
         try:
-            found[table] = spark.read.schema(RAW_TABLES[table]).parquet(f"{raw_dir.rstrip('/')}/{filename}")
+            found[table] = spark.read.schema(RAW_TABLES[table]).parquet(path)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
