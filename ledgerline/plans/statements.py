@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalars import duration_class, safe_ratio
+from ledgerline.functions.scalars import QUARTER_DAYS, YEAR_DAYS, duration_class, safe_ratio
 from ledgerline.operators.pivot import conditional_pivot
 
 # Concept -> statement column.
@@ -29,6 +29,8 @@ FLOWS = list(DURATION_ITEMS.values())
 
 TRAILING_QUARTERS = 4
 
+Days = tuple[int, int]  # inclusive bounds of a duration class
+
 
 def balance_sheet(facts: DataFrame) -> DataFrame:
     """One row per (ticker, period_end) with total assets known.
@@ -58,7 +60,7 @@ def balance_sheet(facts: DataFrame) -> DataFrame:
     )
 
 
-def reporting_periods(facts: DataFrame) -> DataFrame:
+def reporting_periods(facts: DataFrame, quarter_days: Days = QUARTER_DAYS, year_days: Days = YEAR_DAYS) -> DataFrame:
     """Quarter and year rows of the income statement, each labelled with its fiscal year end.
 
     Columns: ticker, span ('quarter' or 'year'), period_start (quarters only), period_end,
@@ -73,7 +75,7 @@ def reporting_periods(facts: DataFrame) -> DataFrame:
         "val",
         "filed",
         "period_end",
-        duration_class("period_length_days").alias("span"),
+        duration_class("period_length_days", quarter_days, year_days).alias("span"),
         F.col("period_start").alias("_start"),
     )
     wide = conditional_pivot(
@@ -90,13 +92,13 @@ def reporting_periods(facts: DataFrame) -> DataFrame:
     return wide.withColumn("fiscal_year_end", F.last(year_end, ignorenulls=True).over(backwards))
 
 
-def fiscal_year_buckets(facts: DataFrame) -> DataFrame:
+def fiscal_year_buckets(facts: DataFrame, quarter_days: Days = QUARTER_DAYS, year_days: Days = YEAR_DAYS) -> DataFrame:
     """Totals of the quarters found in each fiscal year that has any.
 
     Columns: ticker, fiscal_year_end, prior_fiscal_year_end, quarters, last_quarter_end and the
     sums of the flows (null where no quarter reports the flow).
     """
-    periods = reporting_periods(facts).filter("fiscal_year_end is not null")
+    periods = reporting_periods(facts, quarter_days, year_days).filter("fiscal_year_end is not null")
     totals = periods.groupBy("ticker", "fiscal_year_end").agg(
         F.expr("count_if(span = 'quarter') as quarters"),
         F.expr("max(if(span = 'quarter', period_end, null)) as last_quarter_end"),
@@ -118,7 +120,7 @@ def fiscal_year_buckets(facts: DataFrame) -> DataFrame:
     )
 
 
-def fiscal_quarters(facts: DataFrame) -> DataFrame:
+def fiscal_quarters(facts: DataFrame, quarter_days: Days = QUARTER_DAYS, year_days: Days = YEAR_DAYS) -> DataFrame:
     """Reported quarters inside a fiscal year plus the derived fourth ones.
 
     A fiscal year with exactly three reported quarters turns its annual row into the missing
@@ -129,7 +131,7 @@ def fiscal_quarters(facts: DataFrame) -> DataFrame:
     """
     bucket = "over (partition by ticker, fiscal_year_end)"
     totalled = (
-        reporting_periods(facts)
+        reporting_periods(facts, quarter_days, year_days)
         .filter("fiscal_year_end is not null")
         .selectExpr(
             "*",
@@ -150,11 +152,11 @@ def fiscal_quarters(facts: DataFrame) -> DataFrame:
     )
 
 
-def derived_fourth_quarters(facts: DataFrame) -> DataFrame:
-    return fiscal_quarters(facts).filter("derived").drop("derived")
+def derived_fourth_quarters(facts: DataFrame, quarter_days: Days = QUARTER_DAYS, year_days: Days = YEAR_DAYS) -> DataFrame:
+    return fiscal_quarters(facts, quarter_days, year_days).filter("derived").drop("derived")
 
 
-def income_statement(facts: DataFrame) -> DataFrame:
+def income_statement(facts: DataFrame, quarter_days: Days = QUARTER_DAYS, year_days: Days = YEAR_DAYS) -> DataFrame:
     """Fiscal quarters with operating income, EBITDA and its trailing four-row total.
 
     The trailing window counts rows, not calendar quarters. Equal period ends are ordered by
@@ -165,7 +167,7 @@ def income_statement(facts: DataFrame) -> DataFrame:
         f" rows between {TRAILING_QUARTERS - 1} preceding and current row)"
     )
     return (
-        fiscal_quarters(facts)
+        fiscal_quarters(facts, quarter_days, year_days)
         .filter("operating_income is not null")
         .withColumn("ebitda", F.expr("operating_income + coalesce(depreciation_amortization, 0)"))
         .selectExpr(

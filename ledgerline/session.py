@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,16 +32,22 @@ def build_session(app_name: str = "ledgerline", master: str | None = None, **ext
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ledgerline-{application_id}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder; executors cannot read a machine-local one")
-    local = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

@@ -152,3 +152,10 @@ def test_financials_keep_unmatched_balance_rows_and_gate_ttm(spark, rows):
         (D("2022-12-31"), D("2023-02-01"), None, 0.75, 0.6, 7, 10),
         (D("2023-03-31"), D("2022-01-01"), None, 0.75, 0.6, None, None),
     ]
+
+
+def test_duration_bounds_are_parameters(spark):
+    facts = annual(2022, operating_income=10) + [fact("operating_income", "2022-01-01", "2022-04-15", 1)]  # 104 days
+    base = staged(spark, facts)
+    assert statements.fiscal_year_buckets(base).count() == 0
+    assert statements.fiscal_year_buckets(base, quarter_days=(80, 110)).first().quarters == 1
