@@ -1,7 +1,7 @@
 """The four raw tables, derived in Spark from lineitem, orders and supplier (FIXTURES.md §3).
 
 A supplier plays the company, the quarter of its ship dates the reporting period; money is
-integer cents. ``fixtures.adapter_sql`` states the same rules for DuckDB.
+integer cents. ``fixtures.oracle`` states the same rules for DuckDB.
 """
 
 from __future__ import annotations

@@ -292,7 +292,8 @@ def trendline_leverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def trend_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.rate_trend(_valuation(spark, sf_dir))
+    # The statement join is planned away, so the quarterly mart need not be written first.
+    return summary.rate_trend(_valuation(spark, sf_dir, _quarters(spark, sf_dir)))
 
 
 @register
@@ -333,7 +334,7 @@ def indexed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rs.rate_series(_valuation(spark, sf_dir))
+    return rs.rate_series(_valuation(spark, sf_dir, _quarters(spark, sf_dir)))
 
 
 @register

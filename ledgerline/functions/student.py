@@ -6,6 +6,10 @@ execution path. It sees one row per fitted group, never the observations.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,14 +19,10 @@ def tail_probability():
 
     With t^2 = R^2 (n-2) / (1-R^2) the two-sided tail is the regularised incomplete beta
     I_x(a, 1/2) at x = 1-R^2, a = (n-2)/2, evaluated by its continued fraction. The function
-    closes over nothing importable, so workers need only numpy.
+    is local, hence shipped by value: workers need numpy and pandas but not this package.
     """
 
     def compute(n, r_squared):
-        import math
-
-        import numpy as np
-
         n = np.asarray(n, dtype="float64")
         r2 = np.asarray(r_squared, dtype="float64")
         out = np.full(n.shape, np.nan)
@@ -82,13 +82,9 @@ def slope_p_value(n: Column | str, r_squared: Column | str) -> Column:
     """p-value column from the pair count and R^2; null where R^2 is null."""
     compute = tail_probability()
 
-    def batch(counts, fits):
-        import pandas as pd
-
+    @F.pandas_udf("double")
+    def tail(counts: pd.Series, fits: pd.Series) -> pd.Series:
         return pd.Series(compute(counts, fits))
 
-    from pandas import Series
-
-    batch.__annotations__ = {"counts": Series, "fits": Series, "return": Series}
-    raw = F.pandas_udf(batch, "double")(n, r_squared)
-    return F.when(~F.isnan(raw), raw)
+    p_value = tail(n, r_squared)
+    return F.when(~F.isnan(p_value), p_value)

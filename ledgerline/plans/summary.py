@@ -14,20 +14,25 @@ from ledgerline.plans.rate_sensitivity import (
     leverage_regression,
     monthly_changes,
     quarterly_leverage_changes,
+    rate_series,
     valuation_regression,
 )
 
 
 def rate_trend(valuation: DataFrame) -> DataFrame:
     """One row: low, peak, first and last date, value on the last date; none when nothing is known."""
-    rated = valuation.select("price_date", "fed_funds_rate").dropna()
-    return rated.agg(
-        F.min("fed_funds_rate").alias("low"),
-        F.max("fed_funds_rate").alias("peak"),
-        F.min("price_date").alias("first_date"),
-        F.max("price_date").alias("last_date"),
-        F.max_by("fed_funds_rate", "price_date").alias("latest"),
-    ).filter(F.col("low").isNotNull())
+    # Over distinct days: the reduction is the same, and a lazy valuation loses its statement join.
+    return (
+        rate_series(valuation)
+        .agg(
+            F.min("fed_funds_rate").alias("low"),
+            F.max("fed_funds_rate").alias("peak"),
+            F.min("price_date").alias("first_date"),
+            F.max("price_date").alias("last_date"),
+            F.max_by("fed_funds_rate", "price_date").alias("latest"),
+        )
+        .filter("low is not null")
+    )
 
 
 def market_cap_trend(valuation: DataFrame) -> DataFrame:
