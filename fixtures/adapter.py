@@ -7,6 +7,7 @@ integer cents. ``fixtures.oracle`` states the same rules for DuckDB.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -242,6 +243,7 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LANDED: set[str] = set()  # directories whose landing completed
+_LANDING = threading.Lock()  # queries may be built from several threads
 
 
 def _raw_dir(spark: SparkSession, sf_dir: str) -> str:
@@ -271,11 +273,12 @@ def land(spark: SparkSession, sf_dir: str) -> dict[str, int]:
 def raw_tables(spark: SparkSession, sf_dir: str, tables: Iterable[str] = tuple(RAW_FILES)) -> dict[str, DataFrame]:
     """Landed raw tables, one tag per concept; all are landed on first use in a session."""
     path = _raw_dir(spark, sf_dir)
-    found = read_raw(spark, path, tables) if path in _LANDED else {}
-    if any(name not in found for name in tables):
-        land(spark, sf_dir)
-        _LANDED.add(path)
-        found = read_raw(spark, path, tables)
+    with _LANDING:
+        found = read_raw(spark, path, tables) if path in _LANDED else {}
+        if any(name not in found for name in tables):
+            land(spark, sf_dir)
+            _LANDED.add(path)
+            found = read_raw(spark, path, tables)
     return found
 
 

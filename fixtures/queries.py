@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -135,7 +136,7 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = f"{shared_dir(spark).rstrip('/')}/ledgerline-marts-{spark.sparkContext.applicationId}"
+    out = f"{shared_dir(spark).rstrip('/')}/ledgerline-marts-{uuid.uuid4().hex}"
     return landing.row_counts(warehouse.build_warehouse(spark, adapter.raw_tables(spark, sf_dir), out))
 
 

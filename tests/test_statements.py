@@ -159,3 +159,11 @@ def test_duration_bounds_are_parameters(spark):
     base = staged(spark, facts)
     assert statements.fiscal_year_buckets(base).count() == 0
     assert statements.fiscal_year_buckets(base, quarter_days=(80, 110)).first().quarters == 1
+
+
+def test_income_statement_shuffles_three_times_and_joins_nothing(spark):
+    facts = quarter(2022, 1, operating_income=1) + annual(2022, operating_income=10)
+    raw = spark.createDataFrame(facts, RAW_FACTS).repartition(4)
+    plan = statements.income_statement(staging.stage_facts(raw))._jdf.queryExecution().executedPlan().toString()
+    # dedupe on the fact key, pivot on the period, then one exchange on ticker for all windows
+    assert plan.count("Exchange hashpartitioning(") == 3 and "Join" not in plan
