@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, near_dups, packing, quality, rules
+from ledgerline.llm import chat, lm, near_dups, packing, quality, rules
 from ledgerline.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ FROM sized GROUP BY conv_id
 """
 
 
+@register
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
+
+
 @register
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
