@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, lm, near_dups, packing, quality, rules, top_k
+from ledgerline.llm import chat, edit_counts, langid, lm, near_dups, packing, pieces, quality, rules, top_k
 from ledgerline.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ REGISTRY: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def register(function: Query) -> Query:
@@ -32,6 +33,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 PLANTED_CHAT = "\\### Assistant: </turn> ok"
 
 
@@ -74,6 +80,11 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
 
 
+@register
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest_documents(table(spark, sf_dir, "documents"), tokenizer(PIECE_BPE))
+
+
 @register
 def op6_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
@@ -101,6 +112,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
 
 
+@register
+def op8_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts.count_documents(edit_counts.drawn_edits(table(spark, sf_dir, "documents")), tokenizer(BYTE_BPE))
+
+
 @register
 def op9_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
