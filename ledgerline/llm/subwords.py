@@ -108,10 +108,11 @@ class Encoder:
 
     def encode(self, group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids begin and the last end)."""
+        joined = b"\0".join(group)
+        if not any(s in joined for s in self.special):
+            return self._encode_plain(group)
         plain = [not any(s in t for s in self.special) for t in group]
         ids, first = self._encode_plain([t if p else b"" for t, p in zip(group, plain, strict=True)])
-        if all(plain):
-            return ids, first
         parts = [ids[i:j] for i, j in zip(first[:-1], first[1:], strict=True)]
         for k, p in enumerate(plain):
             if not p:
@@ -119,10 +120,13 @@ class Encoder:
         return np.concatenate(parts), np.cumsum([0, *[len(p) for p in parts]])
 
     def _encode_plain(self, group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        data = np.frombuffer(b"".join([t + b"\0" for t in group]), dtype=np.uint8)
+        return self.encode_data(data, np.cumsum([0, *[len(t) + 1 for t in group]]))
+
+    def encode_data(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without special strings that lie in one array, each ended by ``BREAK``."""
         if self.units > REMEMBERED:
             self.forget()
-        data = np.frombuffer(b"".join([t + b"\0" for t in group]), dtype=np.uint8)
-        begins = np.cumsum([0, *[len(t) + 1 for t in group]])
         starts = unit_starts(data, begins)
         numbers = self.numbers(data, starts)
         lengths = self.length[numbers].astype(np.int64)

@@ -71,6 +71,13 @@ class Words:
 
     hashes: np.ndarray
     first: np.ndarray
+    data: np.ndarray
+    starts: np.ndarray
+
+    def ends(self) -> np.ndarray:
+        """Where each word ends in ``data``, in which each begins at its start."""
+        space = np.flatnonzero(_IS_SPACE[self.data])
+        return np.append(space, len(self.data))[np.searchsorted(space, self.starts)]
 
     def of(self, i: int) -> np.ndarray:
         return self.hashes[self.first[i] : self.first[i + 1]]
@@ -87,8 +94,8 @@ def words_of(texts: list[bytes], fold_case: bool) -> Words:
         starts = np.concatenate(([0], starts))
     first = np.searchsorted(starts, begins)
     if not len(starts):
-        return Words(np.zeros(0, dtype=np.uint64), first)
-    return Words(span_hashes(joined, starts, _WORD_VALUES[fold_case]), first)
+        return Words(np.zeros(0, dtype=np.uint64), first, joined, starts)
+    return Words(span_hashes(joined, starts, _WORD_VALUES[fold_case]), first, joined, starts)
 
 
 def windows(words: np.ndarray, n: int) -> np.ndarray:
