@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -61,6 +62,12 @@ def median_time(action) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
+    # The run's own shared folder, removed with everything in it at the end.
+    with tempfile.TemporaryDirectory(prefix="bench-") as shared:
+        run(sf_dir, cpus, shared)
+
+
+def run(sf_dir: str, cpus: str, shared: str) -> None:
     spark = build_session(
         "bench",
         master=f"local[{cpus}]",
@@ -68,6 +75,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "12g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": shared,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -10,7 +10,12 @@ from __future__ import annotations
 import re
 
 from ledgerline.dims import TAG_ALIASES
-from ledgerline.plans.summary import LEVERAGE_HEADING, NOTE
+
+LEVERAGE_HEADING = "Leverage/liquidity trend across the FULL history, including the hiking cycle itself:"
+NOTE = (
+    "Note: these fits compare changes, since two levels that trend go together whatever their relation. "
+    "Each company adds few observations, so take R^2 and p as hints; no fit here shows a cause."
+)
 
 RELATIONS: dict[str, str] = {}
 QUERIES: dict[str, str] = {}

@@ -16,7 +16,7 @@ from ledgerline.operators.latest import latest_by
 from ledgerline.operators.pivot import conditional_pivot
 from ledgerline.operators.series import resample_last
 from ledgerline.plans import rate_sensitivity as rs
-from ledgerline.plans import serving, staging, statements, summary, warehouse
+from ledgerline.plans import serving, staging, statements, summary, valuation, warehouse
 from ledgerline.schemas import RAW_FACTS
 from ledgerline.session import cut_lineage, shared_dir
 from ledgerline.sources import landing, payloads
@@ -55,6 +55,11 @@ def _staged(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFra
     return warehouse.stage_all(adapter.raw_tables(spark, sf_dir, tables))
 
 
+def _market_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = _staged(spark, sf_dir, PRICES, SNAPSHOT)
+    return valuation.market_caps(staged["stg_yfinance_prices"], staged["stg_yfinance_valuation_snapshot"])
+
+
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, FACTS)["stg_edgar_facts"]
 
@@ -299,7 +304,7 @@ def trend_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def trend_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.market_cap_trend(_valuation(spark, sf_dir))
+    return summary.market_cap_trend(_market_caps(spark, sf_dir))
 
 
 @register
@@ -330,7 +335,7 @@ def liquidity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def indexed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.indexed_market_cap(_valuation(spark, sf_dir))
+    return serving.indexed_market_cap(_market_caps(spark, sf_dir))
 
 
 @register

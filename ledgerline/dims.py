@@ -13,11 +13,11 @@ START_DATE = "2021-01-01"
 
 # display order: (ticker, name, registry number)
 COMPANIES = [
-    ("MSFT", "Microsoft Corporation", "789019"),
-    ("AAPL", "Apple Inc.", "320193"),
-    ("GOOGL", "Alphabet Inc.", "1652044"),
-    ("AMZN", "Amazon.com, Inc.", "1018724"),
-    ("META", "Meta Platforms, Inc.", "1326801"),
+    ("MSFT", "Microsoft Corporation", "0000789019"),
+    ("AAPL", "Apple Inc.", "0000320193"),
+    ("GOOGL", "Alphabet Inc.", "0001652044"),
+    ("AMZN", "Amazon.com, Inc.", "0001018724"),
+    ("META", "Meta Platforms, Inc.", "0001326801"),
 ]
 
 SERIES = ["FEDFUNDS", "DGS10"]

@@ -47,6 +47,9 @@ def asof_join(
     """
     _check_date(left, left_time)
     _check_date(right, right_time)
+    taken = sorted(set(payload.values()) & set(left.columns))
+    if taken:
+        raise ValueError(f"payload names already on the left side: {', '.join(taken)}; map them to other names")
     tiebreak = tiebreak or list(payload)
     keyed = (
         right.filter(F.col(right_time).isNotNull())
@@ -89,12 +92,12 @@ def _join_by_month(
 def _join_by_day(
     left: DataFrame, versions: DataFrame, left_time: str, by: list[str], keys: list[str], last_seen: Column
 ) -> DataFrame:
-    # One row per calendar day at most (36,525 a century): the unpartitioned window and the
-    # broadcast are bounded by the date type, not by the data.
+    # One row per calendar day at most (36,525 a century): the unpartitioned window is bounded by
+    # the date type, not by the data. Whether the days are broadcast is left to their measured size.
     intervals = versions.withColumn("_to", F.lead("_from").over(Window.orderBy("_from")))
     days = F.sequence(F.col("_from"), F.coalesce(F.date_sub("_to", 1), F.col("_from")))
     listed = intervals.select("_hit", F.explode(days).alias("_day"))
     # least() skips nulls, and a null time must match nothing.
     folded = F.when(F.col(left_time).isNotNull(), F.least(F.col(left_time), last_seen))
     slotted = left.withColumn("_slot", folded)
-    return slotted.join(F.broadcast(listed), F.col("_slot") == F.col("_day"), "left")
+    return slotted.join(listed, F.col("_slot") == F.col("_day"), "left")

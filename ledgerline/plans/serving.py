@@ -13,6 +13,8 @@ from ledgerline.operators.regression import with_trend_line
 
 _SNAPSHOT_BALANCE = ["period_end", "current_ratio", "debt_to_equity", "liabilities_to_assets"]
 _SNAPSHOT_INCOME = ["revenue", "ebitda_ttm"]
+
+# Shown headings and the columns given to the question-answering context.
 SNAPSHOT_LABELS = {
     "period_end": "As of",
     "current_ratio": "Current Ratio",
@@ -79,7 +81,11 @@ def ratio_lines(quarters: DataFrame, ratio: str) -> DataFrame:
 
 
 def indexed_market_cap(valuation: DataFrame) -> DataFrame:
-    """Market cap with each ticker's first observation at 100."""
+    """Market cap with each ticker's first observation at 100.
+
+    Reads ticker, date and market cap only: give it ``valuation.market_caps`` or the stored mart,
+    not a lazy valuation, whose as-of joins it would run twice.
+    """
     indexed = index_to_first(
         valuation.select("price_date", "ticker", "market_cap_approx"),
         "ticker",

@@ -84,10 +84,8 @@ _NOTE, _CAP_BETAS, _DEBT_BETAS = range(11, 14)
 NO_DATA = "(no valuation/Fed rate data available)"
 LEVERAGE_HEADING = "Leverage/liquidity trend across the FULL history, including the hiking cycle itself:"
 NOTE = (
-    "Note: all regressions above use changes, not levels, specifically to avoid the "
-    "spurious correlation two trending series would otherwise show. Small samples "
-    "(n per company ~55 months / ~20 quarters) -- read R^2/p-values as indicative, not "
-    "definitive, and don't imply causation from correlation alone."
+    "Note: these fits compare changes, since two levels that trend go together whatever their relation. "
+    "Each company adds few observations, so take R^2 and p as hints; no fit here shows a cause."
 )
 CAP_BETAS_HEADING = "Per-company beta (market cap %-change per 1pp rate change): "
 DEBT_BETAS_HEADING = "Per-company beta (debt-to-equity change per 1pp rate change): "
@@ -119,15 +117,17 @@ def _fit_tail(digits: int = 3) -> list[Column | str]:
 
 
 def _text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    """The parts in a row; a value that is unknown reads "nan", so no line is lost."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("nan")) for p in parts])
 
 
 def trend_lines(quarters: DataFrame, valuation: DataFrame) -> DataFrame:
     """The report as rows (section, ticker, line); sorting by the first two gives the text order.
 
     Per-company slopes are one row each, so no cell grows with the number of companies.
-    Lines whose slope is unknown are absent.
+    Lines whose slope is unknown are absent. Without any valuation the one no-data line is all.
     """
+    quarters = quarters.filter(valuation.select("ticker").limit(1).agg(F.count(F.lit(1))).scalar() > 0)
     caps, debts = monthly_changes(valuation), quarterly_leverage_changes(quarters, valuation)
     market = valuation_regression(caps, by_ticker=False)
     leverage = leverage_regression(debts, by_ticker=False)
@@ -148,8 +148,7 @@ def trend_lines(quarters: DataFrame, valuation: DataFrame) -> DataFrame:
         iso_date("first_period"), ", peaked at ", signed_fixed("peak_debt_to_equity", 2), " (",
         iso_date("peak_period"), "), now ", signed_fixed("last_debt_to_equity", 2), " (",
         iso_date("last_period"), "). Current ratio: ",
-        F.coalesce(signed_fixed("first_current_ratio", 2), F.lit("nan")), " -> ",
-        F.coalesce(signed_fixed("last_current_ratio", 2), F.lit("nan")), " over the same window.",
+        signed_fixed("first_current_ratio", 2), " -> ", signed_fixed("last_current_ratio", 2), " over the same window.",
     )
     market_fit = _text(
         "Regression (month-over-month changes, pooled across all ", F.col("n_companies").cast("string"),

@@ -38,6 +38,17 @@ def with_public_financials(df: DataFrame, quarters: DataFrame, time: str) -> Dat
     )
 
 
+def market_caps(prices: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Today's share count on each day's close; what readers of market cap alone need."""
+    shares = snapshot.select("ticker", "shares_outstanding")
+    return prices.join(shares, "ticker").select(
+        "ticker",
+        "price_date",
+        "close_price",
+        (F.col("close_price") * F.col("shares_outstanding")).alias("market_cap_approx"),
+    )
+
+
 def valuation_daily(prices: DataFrame, snapshot: DataFrame, quarters: DataFrame, series: DataFrame) -> DataFrame:
     """Market cap, enterprise value and EV/EBITDA for every priced day.
 
@@ -48,14 +59,7 @@ def valuation_daily(prices: DataFrame, snapshot: DataFrame, quarters: DataFrame,
     the statement join in planning. The snapshot join carries no hint: the planner broadcasts
     it when its measured size allows and otherwise shuffles, splitting hot tickers.
     """
-    shares = snapshot.select("ticker", "shares_outstanding")
-    priced = prices.join(shares, "ticker").select(
-        "ticker",
-        "price_date",
-        "close_price",
-        (F.col("close_price") * F.col("shares_outstanding")).alias("market_cap_approx"),
-    )
-    rated = with_policy_rate(priced, series, "price_date")
+    rated = with_policy_rate(market_caps(prices, snapshot), series, "price_date")
     known = with_public_financials(rated, quarters, "price_date")
     value = F.col("market_cap_approx") + either_zero("reported_total_debt") - either_zero("cash_and_equivalents")
     return known.select(

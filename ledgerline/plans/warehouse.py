@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.quality import check_not_null
+from ledgerline.operators.quality import check_not_null, require_clean
 from ledgerline.plans import staging, statements, valuation
 
 # Fixed values: (table -> columns that must not be null).
@@ -73,14 +73,26 @@ def write_mart(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def build_warehouse(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str) -> dict[str, DataFrame]:
-    """Raw tables to marts on disk, each mart computed once from the ones before it."""
+def build_warehouse(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    out_dir: str,
+    gate: Mapping[str, Sequence[str]] = MART_KEYS,
+) -> dict[str, DataFrame]:
+    """Raw tables to marts on disk, each mart computed once from the ones before it.
+
+    A mart with a null in one of its ``gate`` columns ends the build with an error, before any
+    mart that reads it. The default asks for the keys of every mart; ``NOT_NULL_RULES`` also asks
+    for ratios, which companies without liabilities or equity on file do not have.
+    """
     staged = stage_all(raw)
     register_views(staged)
     marts: dict[str, DataFrame] = {}
 
     def emit(name: str, frame: DataFrame) -> DataFrame:
         marts[name] = write_mart(frame, f"{out_dir.rstrip('/')}/{name}", MART_KEYS[name])
+        if gate.get(name):
+            require_clean(check_not_null(marts, {name: gate[name]}))
         marts[name].createOrReplaceTempView(name)
         return marts[name]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     DateType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -46,20 +47,22 @@ RAW_TABLES = {
 }
 
 # Landed payload documents.
+# Numbers are read as decimals, since whole ones also come with a fraction of zero.
+_N = DecimalType(38, 6)
 FACT_ENTRY = _struct(
-    start=_S, end=_S, val=_L, accn=_S, fy=_I, fp=_S, form=_S, filed=_S, frame=_S,
+    start=_S, end=_S, val=_N, accn=_S, fy=_N, fp=_S, form=_S, filed=_S, frame=_S,
 )
 CONCEPT_PAYLOAD = _struct(units=_struct(USD=ArrayType(FACT_ENTRY)))
 SERIES_PAYLOAD = _struct(observations=ArrayType(_struct(date=_S, value=_S)))
 SNAPSHOT_PAYLOAD = _struct(
-    marketCap=_L,
-    enterpriseValue=_L,
+    marketCap=_N,
+    enterpriseValue=_N,
     trailingPE=_D,
     forwardPE=_D,
     enterpriseToEbitda=_D,
-    sharesOutstanding=_L,
-    totalDebt=_L,
-    totalCash=_L,
+    sharesOutstanding=_N,
+    totalDebt=_N,
+    totalCash=_N,
 )
 
 # Marts, needed where an absent table must still give a typed empty frame.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -23,7 +24,14 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "ledgerline", master: str | None = None, **extra: str) -> SparkSession:
+def build_session(
+    app_name: str = "ledgerline", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with ``SETTINGS``. ``input_bytes``: the expected size of the largest input, from
+    which shuffles start with a partition for each 128 MB; adaptive execution merges, never splits.
+    """
+    if input_bytes:
+        extra.setdefault("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(200, input_bytes >> 27)))
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -45,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a shared folder; executors cannot read a machine-local one")
     return _local_dir(spark.sparkContext.applicationId)
 

@@ -2,13 +2,20 @@
 
 Documents are read by directory, one task per group of files. The layout names the entity in
 the path (``ticker=MSFT/tag=Assets/...``), which Spark turns into columns and prunes on.
+
+Nothing is dropped in silence: a document that isn't what its schema says, or a number that must
+be whole and isn't, ends the read with an error that names the trouble.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
@@ -20,7 +27,14 @@ FACT_COLUMNS = schemas.RAW_FACTS.fieldNames()
 
 
 def _parsed(documents: DataFrame, payload: str, schema) -> DataFrame:
-    return documents.withColumn("_doc", F.from_json(payload, schema)).drop(payload)
+    return documents.withColumn("_doc", F.from_json(payload, schema, {"mode": "FAILFAST"})).drop(payload)
+
+
+def _whole(column: str, kind: str = "bigint") -> Column:
+    """A decimal as a whole number; an error for one with a fraction."""
+    value = F.col(column)
+    broken = F.raise_error(F.concat(F.lit(f"{column.rpartition('.')[2]} must be whole: "), value.cast("string")))
+    return F.when(value.isNull() | (value == F.floor(value)), value.cast(kind)).otherwise(broken.cast(kind))
 
 
 def _read_json(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
@@ -36,9 +50,8 @@ def flatten_company_concept(documents: DataFrame, payload: str | None = None) ->
     ``documents`` holds ticker, tag and either a text column ``payload`` or a parsed ``_doc``.
     """
     parsed = _parsed(documents, payload, schemas.CONCEPT_PAYLOAD) if payload else documents
-    return parsed.select("ticker", "tag", F.explode("_doc.units.USD").alias("_fact")).select(
-        "ticker", "tag", "_fact.*"
-    )
+    entries = parsed.select("ticker", "tag", F.explode("_doc.units.USD").alias("_fact")).select("ticker", "tag", "_fact.*")
+    return entries.withColumns({"val": _whole("val"), "fy": _whole("fy", "int")})
 
 
 def read_company_concepts(spark: SparkSession, path: str) -> DataFrame:
@@ -98,8 +111,23 @@ def shape_prices(raw: DataFrame) -> DataFrame:
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """``ticker=*`` CSV downloads with a header line; columns are taken by name, as text."""
-    return shape_prices(spark.read.option("header", "true").csv(path))
+    """``ticker=*`` CSV downloads, each read by its own header line; tickers stay text."""
+    files = spark.read.schema("value string, ticker string").option("wholetext", "true").format("text").load(path)
+    wanted = ["date", "close", "volume"]
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text, ticker in zip(batch["value"], batch["ticker"], strict=True):
+                lines = csv.reader(io.StringIO(text or ""))
+                names = [re.sub(r"^\W*(\w+).*$", r"\1", c).lower() for c in next(lines, wanted)]
+                missing = set(wanted) - set(names)
+                if missing:
+                    raise ValueError(f"prices of {ticker} have no column {', '.join(sorted(missing))}")
+                at = [names.index(c) for c in wanted]
+                found = [[line[k] or None for k in at] for line in lines if line]
+                yield pd.DataFrame(found, columns=wanted, dtype=object).assign(ticker=ticker)
+
+    return shape_prices(files.mapInPandas(rows, "date string, close string, volume string, ticker string"))
 
 
 def shape_snapshot(documents: DataFrame, payload: str | None = None) -> DataFrame:
@@ -107,14 +135,14 @@ def shape_snapshot(documents: DataFrame, payload: str | None = None) -> DataFram
     parsed = _parsed(documents, payload, schemas.SNAPSHOT_PAYLOAD) if payload else documents
     return parsed.select(
         "ticker",
-        F.col("_doc.marketCap").alias("market_cap"),
-        F.col("_doc.enterpriseValue").alias("enterprise_value"),
+        _whole("_doc.marketCap").alias("market_cap"),
+        _whole("_doc.enterpriseValue").alias("enterprise_value"),
         F.col("_doc.trailingPE").alias("trailing_pe"),
         F.col("_doc.forwardPE").alias("forward_pe"),
         F.col("_doc.enterpriseToEbitda").alias("ev_to_ebitda"),
-        F.col("_doc.sharesOutstanding").alias("shares_outstanding"),
-        F.col("_doc.totalDebt").alias("total_debt"),
-        F.col("_doc.totalCash").alias("total_cash"),
+        _whole("_doc.sharesOutstanding").alias("shares_outstanding"),
+        _whole("_doc.totalDebt").alias("total_debt"),
+        _whole("_doc.totalCash").alias("total_cash"),
     )
 
 

@@ -3,14 +3,15 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from fixtures import oracle
 from fixtures.adapter import companies, raw_tables
 from fixtures.compare import differences, duck
-from fixtures.queries import _marts, _staged
+from fixtures.queries import REGISTRY, _marts, _staged
 from ledgerline.operators.quality import duplicate_keys, require_clean
 from ledgerline.plans import statements, warehouse
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = REGISTRY
+ORACLE = oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def con(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_point.queries().keys() and ORACLE.keys() <= entry_point.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

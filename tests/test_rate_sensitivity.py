@@ -2,6 +2,7 @@ from datetime import date, timedelta
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.plans import rate_sensitivity as rs
 from ledgerline.plans import serving, summary
@@ -39,43 +40,34 @@ def panels(spark):
     return sfin, sval, pfin, pval
 
 
-def close(a, b):
-    return (a is None and b != b) or a == pytest.approx(b, rel=1e-9, abs=1e-9)
-
-
-def test_monthly_changes_against_pandas(panels):
-    _, sval, _, pval = panels
-    parts = []
-    for ticker, grp in pval.groupby("ticker"):
-        m = grp.dropna(subset=["fed_funds_rate"]).set_index("price_date")
-        m = m[["market_cap_approx", "ev_to_ebitda_approx", "fed_funds_rate"]].astype(float).resample("MS").last()
-        m["cap"] = m.market_cap_approx.pct_change(fill_method=None) * 100
-        m["ev"] = m.ev_to_ebitda_approx.pct_change(fill_method=None) * 100
-        m["rate"] = m.fed_funds_rate.diff()
-        m["ticker"] = ticker
-        parts.append(m.dropna(subset=["rate"]))
-    expected = {(r.ticker, t.date()): r for p in parts for t, r in zip(p.index, p.itertuples())}
-    got = rs.monthly_changes(sval).collect()
-    assert {(r.ticker, r.price_date) for r in got} == expected.keys()
-    for r in got:
-        e = expected[r.ticker, r.price_date]
-        assert close(r.market_cap_pct_change, e.cap) and close(r.ev_ebitda_pct_change, e.ev) and close(r.rate_change_pp, e.rate)
-
-
-def test_quarterly_changes_against_pandas(panels):
-    sfin, sval, pfin, pval = panels
-    fed = pval[["price_date", "fed_funds_rate"]].dropna().drop_duplicates().sort_values("price_date")
-    expected = {}
-    for ticker, grp in pfin.groupby("ticker"):
-        g = pd.merge_asof(grp[["period_end", "debt_to_equity", "current_ratio"]], fed, left_on="period_end", right_on="price_date")
-        g["de"], g["cr"], g["rate"] = (g[c].astype(float).diff() for c in ("debt_to_equity", "current_ratio", "fed_funds_rate"))
-        expected |= {(ticker, r.period_end.date()): r for r in g.dropna(subset=["rate"]).itertuples()}
-    got = rs.quarterly_leverage_changes(sfin, sval).collect()
-    assert {(r.ticker, r.period_end) for r in got} == expected.keys()
-    for r in got:
-        e = expected[r.ticker, r.period_end]
-        assert r.price_date == e.price_date.date()
-        assert close(r.de_change, e.de) and close(r.cr_change, e.cr) and close(r.rate_change_pp, e.rate)
+def test_monthly_changes_by_hand(spark):
+    days = [
+        ("A", "2021-01-29", 100.0, 10.0, 1.0), ("A", "2021-01-30", None, None, None),  # the month's last known rate
+        ("A", "2021-02-10", 90.0, 9.0, 1.0), ("A", "2021-02-26", 150.0, None, 1.5),
+        ("A", "2021-04-30", 75.0, 6.0, 1.25),  # no March
+        ("B", "2021-02-26", 0.0, 2.0, 1.5), ("B", "2021-03-31", 5.0, 3.0, 1.5),
+    ]
+    rows = [(t, date.fromisoformat(d), None, cap, None, None, None, None, None, ev, rate) for t, d, cap, ev, rate in days]
+    got = {(r.ticker, str(r.price_date)): r[5:] for r in rs.monthly_changes(spark.createDataFrame(rows, VALUATION)).collect()}
+    # April has no month before it to compare with; of a month's multiples the last known one counts.
+    assert got == {
+        ("A", "2021-02-01"): (pytest.approx(50.0), pytest.approx(-10.0), 0.5),
+        ("B", "2021-03-01"): (None, pytest.approx(50.0), 0.0),
+    }
+
+
+def test_quarterly_changes_by_hand(spark):
+    def quarter(end, debt, current):
+        row = dict.fromkeys(FINANCIALS.fieldNames())
+        row |= dict(ticker="A", period_end=date.fromisoformat(end), debt_to_equity=debt, current_ratio=current)
+        return tuple(row.values())
+
+    quarters = [quarter("2020-12-31", 1.0, 2.0), quarter("2021-03-31", 1.5, None), quarter("2021-06-30", 1.25, 3.0), quarter("2021-09-30", 2.0, 3.5)]
+    days = [("2021-03-30", 0.25), ("2021-04-01", 9.0), ("2021-06-30", 1.0), ("2021-07-01", None)]
+    rated = [("Z", date.fromisoformat(d), None, None, None, None, None, None, None, None, rate) for d, rate in days]
+    out = rs.quarterly_leverage_changes(spark.createDataFrame(quarters, FINANCIALS), spark.createDataFrame(rated, VALUATION))
+    got = {str(r.period_end): (str(r.price_date), r.de_change, r.cr_change, r.rate_change_pp) for r in out.collect()}
+    assert got == {"2021-06-30": ("2021-06-30", -0.25, None, 0.75), "2021-09-30": ("2021-06-30", 0.75, 0.5, 0.0)}
 
 
 def test_regression_tables(panels):
@@ -104,7 +96,26 @@ def test_empty_inputs_give_empty_results(panels):
     assert rs.quarterly_leverage_changes(no_fin, sval).count() == 0
     assert rs.quarterly_leverage_changes(sfin, no_val).count() == 0
     assert summary.rate_trend(no_val).count() == 0
-    assert [r.line for r in summary.trend_lines(no_fin, no_val).collect()] == [summary.NO_DATA]
+    for quarters in (no_fin, sfin):
+        assert [r.line for r in summary.trend_lines(quarters, no_val).collect()] == [summary.NO_DATA]
+
+
+def test_unknown_values_leave_no_null_line(panels):
+    sfin, sval, _, _ = panels
+    flat = summary.trend_lines(sfin.withColumn("debt_to_equity", F.lit(1.5)), sval.withColumn("market_cap_approx", F.lit(0.0)))
+    lines = [r.line for r in flat.collect()]
+    assert None not in lines and "MSFT: approx. market cap changed nan% from 2021-01-04 to 2024-01-07." in [x[:79] for x in lines]
+
+
+def test_market_cap_readers_need_no_asof_join(spark):
+    from ledgerline.plans import valuation
+
+    prices = spark.createDataFrame([("A", date(2021, 1, 4), 2.0, 1)], "ticker string, price_date date, close_price double, volume bigint")
+    snapshot = spark.createDataFrame([("A", 3)], "ticker string, shares_outstanding bigint")
+    caps = valuation.market_caps(prices, snapshot)
+    for frame in (serving.indexed_market_cap(caps), summary.market_cap_trend(caps)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "_slot" not in plan and plan.count("Join") <= 3
 
 
 def test_report_text(panels):

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from ledgerline.functions.student import tail_probability
@@ -77,3 +78,26 @@ def test_groups_long_form_and_trend(spark):
     line = with_trend_line(df, "x", "y").select("x", "trend").distinct().collect()
     slopes = {round((b.trend - a.trend) / (b.x - a.x), 6) for a, b in zip(line, line[1:]) if abs(a.x - b.x) > 0.05}
     assert len(slopes) == 1
+
+
+@pytest.mark.parametrize("n", [1e7, 1e9, 1e12])
+@pytest.mark.parametrize("t", [0.01, 1.7, 1.96, 5.0])
+def test_p_value_meets_the_normal_limit(n, t):
+    r2 = t * t / (t * t + n - 2)
+    # The t tail is the normal tail with its first correction in 1/n.
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    expected = math.erfc(t / math.sqrt(2)) + 2 * density * (t**3 + t) / (4 * (n - 2))
+    assert tail_probability()(np.array([n]), np.array([r2]))[0] == pytest.approx(expected, rel=1e-9)
+
+
+@pytest.mark.parametrize("t", [0.01, 1.0, 1.96, 3.0, 5.0])
+def test_p_value_agrees_on_both_sides_of_the_seam(t):
+    n = np.array([1e6 - 1, 1e6, 1e6 + 1, 1e6 + 2])
+    p = tail_probability()(n, t * t / (t * t + n - 2))
+    assert p == pytest.approx(p[0], rel=1e-9)
+
+
+def test_p_value_is_smooth_in_small_samples():
+    n = np.arange(3, 400)
+    p = tail_probability()(n, 4.0 / (4.0 + n - 2))
+    assert (np.diff(p) < 0).all() and (np.diff(p, 2) > 0).all()

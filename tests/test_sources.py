@@ -80,6 +80,30 @@ def test_price_files(spark, rows, tmp_path):
     assert rows(payloads.shape_prices(compound)) == [(datetime(2021, 1, 4), None, 7, "MSFT")]
 
 
+def test_each_price_file_by_its_own_header(spark, rows, tmp_path):
+    put(tmp_path, "ticker=0700", "p.csv", text="Date,Open,Close,Volume\n2021-01-04,1,217.5,100\n")
+    put(tmp_path, "ticker=0005", "p.csv", text="Date,\"('Close', '0005')\",\"('Open', '0005')\",Volume\n2021-01-04,20.5,2.0,\n")
+    assert rows(payloads.read_prices(spark, str(tmp_path)), "close", "volume", "ticker") == [(20.5, None, "0005"), (217.5, 100, "0700")]
+    put(tmp_path, "ticker=X", "p.csv", text="Date,Open\n2021-01-04,1\n")
+    with pytest.raises(Exception, match="no column close, volume"):
+        payloads.read_prices(spark, str(tmp_path)).collect()
+
+
+def test_documents_are_read_whole_or_not_at_all(spark, rows):
+    def concept(payload):
+        documents = spark.createDataFrame([("A", "T", payload)], "ticker string, tag string, payload string")
+        return payloads.flatten_company_concept(documents, "payload")
+
+    two = '{"units": {"USD": [{"end": "2021-03-31", "val": 2.0, "fy": 2022.0}, {"end": "2021-06-30", "val": 7433000000}]}}'
+    assert rows(concept(two), "end", "val", "fy") == [("2021-03-31", 2, 2022), ("2021-06-30", 7433000000, None)]
+    with pytest.raises(Exception, match="val must be whole: 2.5"):
+        concept('{"units": {"USD": [{"val": 2.5}]}}').collect()
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|Malformed"):
+        concept('{"units": {"USD": [{"val": 2').collect()
+    shot = spark.createDataFrame([("A", '{"sharesOutstanding": 7433000000.0}')], "ticker string, payload string")
+    assert rows(payloads.shape_snapshot(shot, "payload"), "shares_outstanding") == [(7433000000,)]
+
+
 def test_snapshot_documents(spark, rows, tmp_path):
     put(tmp_path, "ticker=MSFT", "i.json", text=json.dumps({"marketCap": 5, "trailingPE": 3.5, "sharesOutstanding": 7, "x": "y"}))
     put(tmp_path, "ticker=META", "i.json", text="{}")
