@@ -8,16 +8,17 @@ from __future__ import annotations
 
 import hashlib
 import threading
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.dims import TAG_ALIASES, alias_dim
 from ledgerline.operators.aliases import resolve_aliases
+from ledgerline.plans import serving, warehouse
 from ledgerline.schemas import RAW_FACTS
 from ledgerline.session import shared_dir
-from ledgerline.sources.landing import RAW_FILES, read_raw, write_raw
+from ledgerline.sources.landing import RAW_FILES, load_raw, read_raw, write_raw
 
 EXTRA_TICKER = "S-NONE"  # R9: in the company list, without data
 
@@ -288,6 +289,58 @@ def fact_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(RAW_FACTS).parquet(_entries_path(spark, sf_dir))
 
 
+# ---- the marts, and what else is written from the raw tables ---------------------------
+
+
+_WRITTEN: dict[str, object] = {}  # folder -> what its one writing in this session returned
+_WRITING = threading.RLock()
+
+
+def _once(spark: SparkSession, sf_dir: str, label: str, write: Callable):
+    """The result of ``write(folder)``, done on first use in a session."""
+    path = f"{_raw_dir(spark, sf_dir)}/{label}"
+    with _WRITING:
+        if path not in _WRITTEN:
+            _WRITTEN[path] = write(path)
+        return _WRITTEN[path]
+
+
+def build_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Compute and write the four marts and the panels over them; return the tables."""
+    path = f"{_raw_dir(spark, sf_dir)}/marts"
+    built = warehouse.build_warehouse(spark, raw_tables(spark, sf_dir), path)
+    built |= warehouse.build_panels(built, path)
+    _WRITTEN[path] = built
+    return built
+
+
+def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stored marts and panels; built on first use in a session."""
+    return _once(spark, sf_dir, "marts", lambda _: build_marts(spark, sf_dir))
+
+
+def loaded_database(spark: SparkSession, sf_dir: str) -> str:
+    """A database with one table per landed raw file."""
+    raw_tables(spark, sf_dir)
+    name = f"raw_{hashlib.md5(_raw_dir(spark, sf_dir).encode()).hexdigest()}"
+
+    def load(path: str) -> str:
+        load_raw(spark, _raw_dir(spark, sf_dir), name, path)
+        return name
+
+    return _once(spark, sf_dir, "database", load)
+
+
+def grounding_files(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the grounding table's CSV files."""
+
+    def write(path: str) -> str:
+        serving.write_grounding_csv(marts(spark, sf_dir)["fct_financials_quarterly"], path)
+        return path
+
+    return _once(spark, sf_dir, "grounding", write)
+
+
 # ---- the same inputs as landed documents ----------------------------------------------
 
 
@@ -330,3 +383,70 @@ def price_download(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("volume").alias("('Volume', 'ALL')"),
         "ticker",
     )
+
+
+# ---- documents written as files, one for each company, tag or series --------------------
+
+
+def _document_files(spark: SparkSession, sf_dir: str, label: str, documents: Callable[[], DataFrame], keys: list[str]) -> str:
+    """One text file per row of ``documents()`` (keys, value) under key=value folders."""
+
+    def write(path: str) -> str:
+        documents().write.mode("overwrite").partitionBy(*keys).text(path)
+        return path
+
+    return _once(spark, sf_dir, f"documents/{label}", write)
+
+
+def concept_files(spark: SparkSession, sf_dir: str) -> str:
+    """All entries of a (ticker, tag) in one document, whole numbers written with a fraction of zero.
+
+    The entries of a document are bounded by the quarters on file.
+    """
+
+    def documents() -> DataFrame:
+        whole = [F.col(c).cast("decimal(20,1)").alias(c) for c in ("val", "fy")]
+        entry = F.struct("start", "end", *whole, "fp", "form", "filed")
+        usd, other = (F.collect_list(F.when(test, entry)) for test in (F.col("form") != "8-K", F.col("form") == "8-K"))
+        units = F.struct(F.struct(usd.alias("USD"), other.alias("shares")).alias("units"))
+        return fact_entries(spark, sf_dir).groupBy("ticker", "tag").agg(F.to_json(units).alias("value"))
+
+    return _document_files(spark, sf_dir, "concepts", documents, ["ticker", "tag"])
+
+
+def series_files(spark: SparkSession, sf_dir: str) -> str:
+    """All observations of a series in one document, bounded by its months."""
+
+    def documents() -> DataFrame:
+        whole = F.struct(F.collect_list(F.struct("date", "value")).alias("observations"))
+        return observations(spark, sf_dir).groupBy("series_id").agg(F.to_json(whole).alias("value"))
+
+    return _document_files(spark, sf_dir, "series", documents, ["series_id"])
+
+
+def snapshot_files(spark: SparkSession, sf_dir: str) -> str:
+    return _document_files(
+        spark, sf_dir, "snapshot", lambda: snapshot_documents(spark, sf_dir).withColumnRenamed("payload", "value"), ["ticker"]
+    )
+
+
+def price_files(spark: SparkSession, sf_dir: str) -> str:
+    """One CSV per ticker, tickers as zero-led digits; the columns' order and headers differ by ticker.
+
+    The lines of a file are bounded by the calendar.
+    """
+
+    def documents() -> DataFrame:
+        prices = raw_tables(spark, sf_dir, ["raw_yfinance_prices"])["raw_yfinance_prices"]
+        number = F.substring("ticker", 2, 18).cast("long")
+        day, close, volume = F.date_format("date", "yyyy-MM-dd"), F.col("close").cast("string"), F.col("volume").cast("string")
+        high = (F.col("close") + 1).cast("string")
+        plain = number % 2 == 1
+        line = F.when(plain, F.concat_ws(",", day, close, high, volume)).otherwise(F.concat_ws(",", day, volume, high, close))
+        compound = "Date,\"('Volume', 'X')\",\"('High', 'X')\",\"('Close', 'X')\""
+        header = F.when(F.first(plain), "Date,Close,High,Volume").otherwise(compound)
+        return prices.groupBy(F.lpad(number.cast("string"), 6, "0").alias("ticker")).agg(
+            F.concat_ws("\n", header, F.array_join(F.collect_list(line), "\n")).alias("value")
+        )
+
+    return _document_files(spark, sf_dir, "prices", documents, ["ticker"])

@@ -381,6 +381,12 @@ QUERIES["load_counts"] = """
     UNION ALL SELECT 'raw_yfinance_prices', count(*) FROM raw_prices
     UNION ALL SELECT 'raw_yfinance_valuation_snapshot', count(*) FROM raw_snapshot
     UNION ALL SELECT 'raw_fred_series', count(*) FROM raw_series"""
+QUERIES["loaded_tables"] = QUERIES["load_counts"]
+QUERIES["read_concept_files"] = QUERIES["flatten_payloads"]
+QUERIES["read_series_files"] = QUERIES["flatten_series"]
+QUERIES["read_price_files"] = """SELECT "date", "close", volume, lpad(substr(ticker, 2), 6, '0') AS ticker FROM raw_prices"""
+QUERIES["read_snapshot_files"] = QUERIES["shape_snapshot"]
+QUERIES["sorted_mart"] = "SELECT ticker, period_end, revenue, true AS in_order FROM quarters"
 QUERIES["warehouse_counts"] = """
     SELECT 'fct_balance_sheet_quarterly' AS table_name, count(*) AS n_rows FROM balance
     UNION ALL SELECT 'fct_income_statement_quarterly', count(*) FROM income
@@ -427,6 +433,7 @@ QUERIES["monthly_changes"] = "SELECT * FROM month_change"
 QUERIES["quarterly_leverage_changes"] = "SELECT * FROM quarter_change"
 QUERIES["ols_valuation_by_ticker"] = _by_ticker("cap", "mult", "months")
 QUERIES["ols_valuation_pooled"] = _pooled("cap", "mult")
+QUERIES["ols_valuation_selected"] = QUERIES["ols_valuation_pooled"]
 QUERIES["ols_leverage_by_ticker"] = _by_ticker("debt", "liq", "quarters")
 QUERIES["ols_leverage_pooled"] = _pooled("debt", "liq")
 
@@ -481,8 +488,16 @@ QUERIES["latest_snapshot"] = """
     LEFT JOIN (SELECT * FROM quarters QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY period_end DESC) = 1) b USING (ticker)
     LEFT JOIN (SELECT * FROM quarters WHERE revenue IS NOT NULL
                QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY period_end DESC) = 1) r USING (ticker)"""
-QUERIES["leverage_lines"] = "SELECT period_end, ticker, debt_to_equity FROM quarters"
-QUERIES["liquidity_lines"] = "SELECT period_end, ticker, current_ratio FROM quarters"
+QUERIES["report_text"] = f"""
+    SELECT string_agg(line, chr(10) ORDER BY section, ticker, line) AS text FROM (
+        SELECT section, ticker, line FROM ({QUERIES["trend_summary_text"]}) WHERE section < 12
+        UNION ALL
+        SELECT section, '', CASE section WHEN 12 THEN 'Per-company beta (market cap %-change per 1pp rate change): '
+               ELSE 'Per-company beta (debt-to-equity change per 1pp rate change): ' END || string_agg(line, ', ' ORDER BY line)
+        FROM ({QUERIES["trend_summary_text"]}) WHERE section >= 12 GROUP BY section)"""
+QUERIES["ratio_lines"] = """
+    SELECT period_end, ticker, 'debt_to_equity' AS ratio, debt_to_equity AS value FROM quarters
+    UNION ALL SELECT period_end, ticker, 'current_ratio', current_ratio FROM quarters"""
 QUERIES["indexed_series"] = """
     SELECT price_date, ticker, market_cap_approx / first_value(market_cap_approx) OVER (PARTITION BY ticker ORDER BY price_date) * 100
            AS market_cap_indexed FROM valuation"""
@@ -491,6 +506,7 @@ QUERIES["multiple_series"] = "SELECT price_date, ticker, ev_to_ebitda_approx FRO
 QUERIES["grounding_table"] = """
     SELECT ticker, period_end, revenue, net_income, ebitda, ebitda_ttm, current_ratio, debt_to_equity, liabilities_to_assets,
            total_assets, total_debt, stockholders_equity FROM quarters"""
+QUERIES["grounding_csv"] = QUERIES["grounding_table"]
 QUERIES["latest_event_per_user"] = """
     SELECT user_id, event_id, event_type, value, props FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
@@ -502,6 +518,10 @@ QUERIES["status_pivot"] = """
 
 _ORDER = list(RELATIONS)
 
+# Queries over a picked list of companies, as in fixtures.queries.display_list.
+_PICKED = {"ols_valuation_selected", "report_text"}
+_PICK = "(SELECT ticker FROM company WHERE position > 0 ORDER BY position LIMIT 5)"
+
 
 def _needed(text: str) -> set[str]:
     found: set[str] = set()
@@ -519,7 +539,12 @@ def sql(name: str) -> str:
     needed = _needed(body)
     if not needed:
         return body.strip()
-    parts = ",\n".join(f"{rel} AS ({RELATIONS[rel]})" for rel in _ORDER if rel in needed)
+    texts = dict(RELATIONS)
+    if name in _PICKED:
+        needed |= {"company"}
+        for rel in ("quarters", "valuation"):
+            texts[rel] = f"SELECT * FROM ({RELATIONS[rel]}) WHERE ticker IN {_PICK}"
+    parts = ",\n".join(f"{rel} AS ({texts[rel]})" for rel in sorted(needed, key=_ORDER.index))
     return f"WITH {parts}\n{body.strip()}"
 
 

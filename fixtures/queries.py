@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fixtures import adapter
@@ -17,8 +16,7 @@ from ledgerline.operators.pivot import conditional_pivot
 from ledgerline.operators.series import resample_last
 from ledgerline.plans import rate_sensitivity as rs
 from ledgerline.plans import serving, staging, statements, summary, valuation, warehouse
-from ledgerline.schemas import RAW_FACTS
-from ledgerline.session import cut_lineage, shared_dir
+from ledgerline.schemas import FINANCIALS, RAW_FACTS
 from ledgerline.sources import landing, payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,24 +62,23 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, FACTS)["stg_edgar_facts"]
 
 
-def _quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse.quarterly_marts(_staged(spark, sf_dir, FACTS))["fct_financials_quarterly"]
+def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A mart or panel as its readers find it: a written table."""
+    return adapter.marts(spark, sf_dir)[name]
 
 
-def _quarters_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quarterly mart as a written table, for readers that use it more than once."""
-    return cut_lineage(_quarters(spark, sf_dir), "fct_financials_quarterly")
+def _quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "fct_financials_quarterly")
 
 
-def _valuation(spark: SparkSession, sf_dir: str, quarters: DataFrame | None = None) -> DataFrame:
-    quarters = _quarters_table(spark, sf_dir) if quarters is None else quarters
-    return warehouse.valuation_mart(_staged(spark, sf_dir, PRICES, SNAPSHOT, SERIES), quarters)
+def _valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "fct_valuation_daily")
 
 
-def _marts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Both marts as written tables, for summaries that read them many times."""
-    quarters = _quarters_table(spark, sf_dir)
-    return quarters, cut_lineage(_valuation(spark, sf_dir, quarters), "fct_valuation_daily")
+def display_list(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The companies a reader of the report picked: the first five of the company list."""
+    first = adapter.companies(spark, sf_dir).filter("position > 0").orderBy("position").limit(5)
+    return [r.ticker for r in first.collect()]
 
 
 # ---- sources --------------------------------------------------------------------------
@@ -139,10 +136,50 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.row_counts(adapter.raw_tables(spark, sf_dir))
 
 
+@register
+def loaded_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = adapter.loaded_database(spark, sf_dir)
+    return landing.row_counts({name: spark.table(f"{database}.{name}") for name in landing.RAW_FILES})
+
+
 @register
 def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = f"{shared_dir(spark).rstrip('/')}/ledgerline-marts-{uuid.uuid4().hex}"
-    return landing.row_counts(warehouse.build_warehouse(spark, adapter.raw_tables(spark, sf_dir), out))
+    built = adapter.marts(spark, sf_dir)
+    return landing.row_counts({name: built[name] for name in warehouse.MART_KEYS})
+
+
+@register
+def sorted_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarterly mart by name and in order, next to one that was never built."""
+    _quarters(spark, sf_dir).createOrReplaceTempView("sorted_mart_source")
+    order = ["ticker", "period_end"]
+    present = landing.read_mart(spark, "sorted_mart_source", FINANCIALS, order)
+    absent = landing.read_mart(spark, "no_such_mart", FINANCIALS, order)
+    placed = present.unionByName(absent).select("ticker", "period_end", "revenue", F.monotonically_increasing_id().alias("at"))
+    before = F.lag("at").over(Window.partitionBy("ticker").orderBy("period_end"))
+    return placed.withColumn("in_order", F.coalesce(F.col("at") > before, F.lit(True))).drop("at")
+
+
+@register
+def read_concept_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = payloads.read_company_concepts(spark, adapter.concept_files(spark, sf_dir))
+    return payloads.raw_facts(flat, start="1996-01-01")
+
+
+@register
+def read_series_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payloads.read_series(spark, adapter.series_files(spark, sf_dir))
+
+
+@register
+def read_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shaped = payloads.read_prices(spark, adapter.price_files(spark, sf_dir))
+    return shaped.withColumn("date", F.col("date").cast("date"))
+
+
+@register
+def read_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payloads.read_snapshot(spark, adapter.snapshot_files(spark, sf_dir))
 
 
 # ---- staging --------------------------------------------------------------------------
@@ -193,7 +230,7 @@ def income_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quarters(spark, sf_dir)
+    return warehouse.quarterly_marts(_staged(spark, sf_dir, FACTS))["fct_financials_quarterly"]
 
 
 @register
@@ -201,7 +238,7 @@ def asof_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = _staged(spark, sf_dir, PRICES)["stg_yfinance_prices"].select("ticker", "price_date", "close_price")
     return asof_join(
         prices,
-        _quarters_table(spark, sf_dir),
+        _quarters(spark, sf_dir),
         "price_date",
         "filed_date",
         {"filed_date": "filed_date", "period_end": "period_end", "total_assets": "total_assets"},
@@ -220,19 +257,13 @@ def asof_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def valuation_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _valuation(spark, sf_dir)
+    """The daily mart from staged inputs and the stored quarterly mart."""
+    return warehouse.valuation_mart(_staged(spark, sf_dir, PRICES, SNAPSHOT, SERIES), _quarters(spark, sf_dir))
 
 
 @register
 def not_null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir, FACTS, PRICES, SNAPSHOT, SERIES)
-    marts = warehouse.quarterly_marts(staged)
-    quarters = cut_lineage(marts["fct_financials_quarterly"], "fct_financials_quarterly")
-    marts |= {
-        "fct_financials_quarterly": quarters,
-        "fct_valuation_daily": warehouse.valuation_mart(staged, quarters),
-    }
-    return warehouse.not_null_report(marts)
+    return warehouse.not_null_report(adapter.marts(spark, sf_dir))
 
 
 # ---- rate sensitivity -----------------------------------------------------------------
@@ -253,44 +284,43 @@ def monthly_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def quarterly_leverage_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quarters = _quarters_table(spark, sf_dir)
-    return rs.quarterly_leverage_changes(quarters, _valuation(spark, sf_dir, quarters))
+    return rs.quarterly_leverage_changes(_quarters(spark, sf_dir), _stored(spark, sf_dir, "rate_days"))
 
 
 @register
 def ols_valuation_by_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rs.valuation_regression(rs.monthly_changes(_valuation(spark, sf_dir)), by_ticker=True))
+    return rounded(rs.valuation_regression(_stored(spark, sf_dir, "monthly_changes"), by_ticker=True))
 
 
 @register
 def ols_valuation_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rs.valuation_regression(rs.monthly_changes(_valuation(spark, sf_dir)), by_ticker=False))
+    return rounded(rs.valuation_regression(_stored(spark, sf_dir, "monthly_changes"), by_ticker=False))
 
 
-def _leverage_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quarterly_leverage_changes(spark, sf_dir)
+@register
+def ols_valuation_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = serving.select_tickers(_valuation(spark, sf_dir), display_list(spark, sf_dir))
+    return rounded(rs.valuation_regression(rs.monthly_changes(chosen), by_ticker=False))
 
 
 @register
 def ols_leverage_by_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rs.leverage_regression(_leverage_changes(spark, sf_dir), by_ticker=True))
+    return rounded(rs.leverage_regression(_stored(spark, sf_dir, "quarterly_leverage_changes"), by_ticker=True))
 
 
 @register
 def ols_leverage_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rs.leverage_regression(_leverage_changes(spark, sf_dir), by_ticker=False))
+    return rounded(rs.leverage_regression(_stored(spark, sf_dir, "quarterly_leverage_changes"), by_ticker=False))
 
 
 @register
 def trendline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = cut_lineage(rs.monthly_changes(_valuation(spark, sf_dir)), "monthly_changes")
-    return rounded(serving.scatter_with_trend(changes, "market_cap_pct_change"))
+    return rounded(serving.scatter_with_trend(_stored(spark, sf_dir, "monthly_changes"), "market_cap_pct_change"))
 
 
 @register
 def trendline_leverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = cut_lineage(_leverage_changes(spark, sf_dir), "quarterly_leverage_changes")
-    return rounded(serving.scatter_with_trend(changes, "de_change"))
+    return rounded(serving.scatter_with_trend(_stored(spark, sf_dir, "quarterly_leverage_changes"), "de_change"))
 
 
 # ---- summaries and display frames -----------------------------------------------------
@@ -298,8 +328,7 @@ def trendline_leverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def trend_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The statement join is planned away, so the quarterly mart need not be written first.
-    return summary.rate_trend(_valuation(spark, sf_dir, _quarters(spark, sf_dir)))
+    return summary.rate_trend(_valuation(spark, sf_dir))
 
 
 @register
@@ -309,28 +338,31 @@ def trend_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def trend_leverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.leverage_trend(_quarters_table(spark, sf_dir))
+    return summary.leverage_trend(_quarters(spark, sf_dir))
 
 
 @register
 def trend_summary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.trend_lines(*_marts(spark, sf_dir))
+    return summary.trend_lines(_quarters(spark, sf_dir), _valuation(spark, sf_dir), adapter.marts(spark, sf_dir))
 
 
 @register
-def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = adapter.companies(spark, sf_dir).select("ticker", "position")
-    return serving.latest_snapshot(_quarters(spark, sf_dir), order)
+def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.trend_text(_quarters(spark, sf_dir), _valuation(spark, sf_dir), display_list(spark, sf_dir))
 
 
 @register
-def leverage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.ratio_lines(_quarters(spark, sf_dir), "debt_to_equity")
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = adapter.companies(spark, sf_dir).select("ticker", "position")
+    return serving.latest_snapshot(_quarters(spark, sf_dir), order)
 
 
 @register
-def liquidity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.ratio_lines(_quarters(spark, sf_dir), "current_ratio")
+def ratio_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leverage and the liquidity line of every ticker, named by their ratio."""
+    lines = [serving.ratio_lines(_quarters(spark, sf_dir), ratio) for ratio in ("debt_to_equity", "current_ratio")]
+    named = [df.select("period_end", "ticker", F.lit(df.columns[2]).alias("ratio"), F.col(df.columns[2]).alias("value")) for df in lines]
+    return named[0].unionByName(named[1])
 
 
 @register
@@ -340,7 +372,7 @@ def indexed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rs.rate_series(_valuation(spark, sf_dir, _quarters(spark, sf_dir)))
+    return rs.rate_series(_valuation(spark, sf_dir))
 
 
 @register
@@ -353,6 +385,12 @@ def grounding_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.grounding_table(_quarters(spark, sf_dir))
 
 
+@register
+def grounding_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = serving.grounding_table(_quarters(spark, sf_dir)).schema
+    return spark.read.schema(columns).csv(adapter.grounding_files(spark, sf_dir), header=True)
+
+
 # ---- the general operators on the plain tables ----------------------------------------
 
 

@@ -55,6 +55,7 @@ def quarterly_leverage_changes(quarters: DataFrame, valuation: DataFrame) -> Dat
     """Quarter-over-quarter changes of leverage and of the rate in force at quarter end.
 
     ``price_date`` is the priced day the rate was taken from, on or before the quarter end.
+    ``valuation`` is read twice for two columns: give it the mart, or better its stored ``rate_series``.
     """
     ratios = quarters.select("ticker", "period_end", "debt_to_equity", "current_ratio")
     rated = asof_join(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,6 +75,9 @@ def leverage_trend(quarters: DataFrame) -> DataFrame:
     )
 
 
+#: Tickers that one text cell may list.
+DISPLAY_LIMIT = 1000
+
 # Section numbers fix the order of the lines.
 _NOTHING, _RATE, _CAPS, _LEVERAGE_BREAK, _LEVERAGE_HEAD, _LEVERAGE = range(6)
 _FIT_BREAK, _MARKET_FIT, _MULTIPLE_FIT, _DEBT_FIT, _LIQUIDITY_FIT = range(6, 11)
@@ -101,7 +104,7 @@ def _lines(df: DataFrame, section: int, text: Column, key: Column | None = None)
 
 def _when_rows(df: DataFrame, present: bool, lines: dict[int, str]) -> DataFrame:
     """Fixed lines that appear only when ``df`` has rows (or only when it has none)."""
-    counted = df.agg(F.count(F.lit(1)).alias("n")).filter("n > 0" if present else "n = 0")
+    counted = df.limit(1).agg(F.count(F.lit(1)).alias("n")).filter("n > 0" if present else "n = 0")
     each = F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.lit(t).alias("line")) for s, t in lines.items()]))
     return counted.select(each.alias("_l")).select("_l.section", F.lit("").alias("ticker"), "_l.line")
 
@@ -121,14 +124,25 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("nan")) for p in parts])
 
 
-def trend_lines(quarters: DataFrame, valuation: DataFrame) -> DataFrame:
+def trend_lines(
+    quarters: DataFrame, valuation: DataFrame, panels: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """The report as rows (section, ticker, line); sorting by the first two gives the text order.
 
     Per-company slopes are one row each, so no cell grows with the number of companies.
     Lines whose slope is unknown are absent. Without any valuation the one no-data line is all.
+
+    ``panels`` are the tables of ``warehouse.build_panels`` for the same marts; the daily mart is
+    then scanned once, for the market caps. Without them every panel is derived where it is read.
     """
-    quarters = quarters.filter(valuation.select("ticker").limit(1).agg(F.count(F.lit(1))).scalar() > 0)
-    caps, debts = monthly_changes(valuation), quarterly_leverage_changes(quarters, valuation)
+    known = valuation.select("ticker").limit(1).agg(F.count(F.lit(1))).scalar() > 0
+    quarters = quarters.filter(known)
+    if panels is None:
+        rates, caps = valuation, monthly_changes(valuation)
+        debts = quarterly_leverage_changes(quarters, valuation)
+    else:
+        rates, caps = panels["rate_days"], panels["monthly_changes"]
+        debts = panels["quarterly_leverage_changes"]
     market = valuation_regression(caps, by_ticker=False)
     leverage = leverage_regression(debts, by_ticker=False)
     per_cap = valuation_regression(caps, by_ticker=True).filter(F.col("market_cap_beta").isNotNull())
@@ -176,7 +190,7 @@ def trend_lines(quarters: DataFrame, valuation: DataFrame) -> DataFrame:
 
     parts = [
         _when_rows(valuation.select("ticker"), False, {_NOTHING: NO_DATA}),
-        _lines(rate_trend(valuation), _RATE, rate),
+        _lines(rate_trend(rates), _RATE, rate),
         _lines(market_cap_trend(valuation), _CAPS, cap, F.col("ticker")),
         _when_rows(quarters.select("ticker"), True, {_LEVERAGE_BREAK: "", _LEVERAGE_HEAD: LEVERAGE_HEADING}),
         _lines(leverage_trend(quarters), _LEVERAGE, lever, F.col("ticker")),
@@ -205,10 +219,12 @@ def trend_lines(quarters: DataFrame, valuation: DataFrame) -> DataFrame:
 def trend_text(quarters: DataFrame, valuation: DataFrame, tickers: Iterable[str]) -> DataFrame:
     """The report for a short display list as one text cell, per-company slopes comma-joined.
 
-    The pooled fits are over the listed tickers. The cell grows with the caller's list, never
-    with the data.
+    The pooled fits and the rate's days are those of the listed tickers, so no stored panel of all
+    tickers can serve. The cell grows with the caller's list, never with the data.
     """
     chosen = list(tickers)
+    if len(chosen) > DISPLAY_LIMIT:
+        raise ValueError(f"a text for {len(chosen)} tickers; list at most {DISPLAY_LIMIT} or use trend_lines")
     lines = trend_lines(
         quarters.filter(F.col("ticker").isin(chosen)), valuation.filter(F.col("ticker").isin(chosen))
     )

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.quality import check_not_null, require_clean
-from ledgerline.plans import staging, statements, valuation
+from ledgerline.plans import rate_sensitivity, staging, statements, valuation
 
 # Fixed values: (table -> columns that must not be null).
 NOT_NULL_RULES = {
@@ -23,6 +23,12 @@ MART_KEYS = {
     "fct_financials_quarterly": ["ticker", "period_end"],
     "fct_valuation_daily": ["ticker", "price_date"],
 }
+# Sort order of the small panels that summaries read many times.
+PANEL_KEYS = {
+    "rate_days": ["price_date"],
+    "monthly_changes": ["ticker", "price_date"],
+    "quarterly_leverage_changes": ["ticker", "period_end"],
+}
 
 
 STAGES = {
@@ -103,5 +109,21 @@ def build_warehouse(
     return marts
 
 
+def build_panels(marts: Mapping[str, DataFrame], out_dir: str) -> dict[str, DataFrame]:
+    """The differenced panels and the rate's days as tables, each from one scan of the daily mart."""
+    daily, root = marts["fct_valuation_daily"], out_dir.rstrip("/")
+
+    def emit(name: str, frame: DataFrame) -> DataFrame:
+        return write_mart(frame, f"{root}/{name}", PANEL_KEYS[name])
+
+    rates = emit("rate_days", rate_sensitivity.rate_series(daily))
+    changes = rate_sensitivity.quarterly_leverage_changes(marts["fct_financials_quarterly"], rates)
+    return {
+        "rate_days": rates,
+        "monthly_changes": emit("monthly_changes", rate_sensitivity.monthly_changes(daily)),
+        "quarterly_leverage_changes": emit("quarterly_leverage_changes", changes),
+    }
+
+
 def not_null_report(marts: Mapping[str, DataFrame]) -> DataFrame:
     return check_not_null(marts, NOT_NULL_RULES)

@@ -41,9 +41,13 @@ def read_raw(spark: SparkSession, raw_dir: str, tables: Iterable[str] = tuple(RA
     return found
 
 
-def load_raw(spark: SparkSession, raw_dir: str, database: str = "raw") -> dict[str, int]:
-    """Create or replace one table per landed file; returns rows per loaded table."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def load_raw(spark: SparkSession, raw_dir: str, database: str = "raw", location: str | None = None) -> dict[str, int]:
+    """Create or replace one table per landed file; returns rows per loaded table.
+
+    ``location`` is the shared folder of a new database; the warehouse folder when not given.
+    """
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
     counts = {}
     for table, frame in read_raw(spark, raw_dir).items():
         seen = Observation()
