@@ -1,13 +1,12 @@
-"""Session settings the jobs are written for, and the one place that cuts lineage."""
+"""Session settings the jobs are written for, and the shared folder."""
 
 from __future__ import annotations
 
 import re
 import tempfile
-import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,15 +55,3 @@ def shared_dir(spark: SparkSession) -> str:
     if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a shared folder; executors cannot read a machine-local one")
     return _local_dir(spark.sparkContext.applicationId)
-
-
-def cut_lineage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as a columnar table in the shared folder and read it back.
-
-    Used where one expensive frame feeds several aggregations: readers then scan only the
-    columns they need, and a lost executor costs a re-read instead of a recomputation.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
