@@ -1,11 +1,11 @@
 """Token counts of texts that are edited, without encoding whole texts again.
 
-A text is kept as a segment tree over its units (runs of pre-tokens between places that no
-pre-token reaches across). Leaves hold a unit's characters and tokens, inner nodes their sums, so
-the leaf of a character is found from the root. An edit touches the leaves it overlaps, widened to
-boundaries whose surroundings the edit leaves as they were: a boundary depends on the character
-before it and the two after it. Only this region is cut and encoded anew, and only the sums
-above its leaves are updated; the first leaf takes the new units, the others are left empty.
+A text has a segment tree over its units (runs of pre-tokens between places that no pre-token
+reaches across). Leaves hold a unit's characters and tokens, inner nodes their sums, so the leaf of
+a character is found from the root. An edit touches the leaves it overlaps, widened to boundaries
+whose surroundings the edit leaves as they were: a boundary depends on the character before it and
+the two after it. Only this region is cut and encoded anew, and only the sums above its leaves are
+updated; the first leaf takes the new units, the others are left empty.
 
 An edit is (start, removed, inserted): at character ``start`` of the text as it is by then, so
 many characters go and a string comes in. Edits apply in order.
@@ -26,36 +26,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.frames import small_batches
-from ledgerline.llm.subwords import Encoder, encoder, unit_starts
+from ledgerline.llm.subwords import CHUNK_BYTES, REMEMBERED, Encoder, encoder, unit_starts
+from ledgerline.llm.words import chunks
 
 EDITS = "array<struct<start:long,removed:long,inserted:string>>"
 
 
-def units(text: str, one: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first byte, characters, tokens) of each unit of a text."""
-    data = np.frombuffer(text.encode() + b"\0", dtype=np.uint8)
-    starts = unit_starts(data, np.array([0, len(data)]))
+def units_of(group: list[bytes], one: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(characters and tokens of the units of some texts, in two arrays; where each text's units begin)."""
+    if one.units > REMEMBERED:
+        one.forget()
+    data = np.frombuffer(b"".join([t + b"\0" for t in group]), dtype=np.uint8)
+    begins = np.cumsum([0, *[len(t) + 1 for t in group]])
+    starts = unit_starts(data, begins)
     numbers = one.numbers(data, starts)
     tokens = one.length[numbers].astype(np.int64)
     chars = np.add.reduceat((data & 0xC0) != 0x80, starts, dtype=np.int64)
-    return starts[:-1], chars[:-1], tokens[:-1]
+    return chars, tokens, np.searchsorted(starts, begins)
 
 
 class Tree:
-    """A text as leaves with sums above them."""
-
-    def __init__(self, text: str, one: Encoder) -> None:
-        self.one = one
-        self.data = text.encode()
-        starts, chars, tokens = units(text, one)
-        self.starts = np.append(starts, len(self.data))
-        size = 1 << max(0, int(len(chars) - 1).bit_length())
-        self.levels = [np.zeros((2, size), dtype=np.int64)]
-        self.levels[0][0, : len(chars)], self.levels[0][1, : len(chars)] = chars, tokens
+    """Sums of characters and tokens over the units of a text; level 0 holds the leaves."""
+
+    def __init__(self, chars: np.ndarray, tokens: np.ndarray) -> None:
+        leaves = np.zeros((2, 1 << max(len(chars) - 1, 0).bit_length()), dtype=np.int64)
+        leaves[0, : len(chars)], leaves[1, : len(chars)] = chars, tokens
+        self.levels = [leaves]
         while self.levels[-1].shape[1] > 1:
-            self.levels.append(self.levels[-1].reshape(2, -1, 2).sum(axis=2))
-        self.changed: dict[int, str] = {}
-        self.encoded_chars = 0
+            below = self.levels[-1]
+            self.levels.append(below[:, ::2] + below[:, 1::2])
 
     def chars(self) -> int:
         return int(self.levels[-1][0, 0])
@@ -63,16 +62,6 @@ class Tree:
     def tokens(self) -> int:
         return int(self.levels[-1][1, 0])
 
-    def leaf_text(self, leaf: int) -> str:
-        if leaf in self.changed:
-            return self.changed[leaf]
-        if leaf + 1 >= len(self.starts):
-            return ""
-        return self.data[self.starts[leaf] : self.starts[leaf + 1]].decode()
-
-    def text(self) -> str:
-        return "".join(self.leaf_text(k) for k in range(self.levels[0].shape[1]))
-
     def find(self, at: int) -> tuple[int, int]:
         """(leaf that holds character ``at``, characters before the leaf)."""
         node, before = 0, 0
@@ -84,52 +73,82 @@ class Tree:
                 node += 1
         return node, before
 
-    def put(self, leaf: int, text: str, tokens: int) -> None:
-        self.changed[leaf] = text
-        change = np.array([len(text), tokens]) - self.levels[0][:, leaf]
-        for level in self.levels:
-            level[:, leaf] += change
-            leaf //= 2
+    def put(self, first: int, last: int, chars: int, tokens: int) -> None:
+        """All units of the leaves ``first`` to ``last`` in the first of them; only the sums above change."""
+        leaves = self.levels[0]
+        leaves[:, first : last + 1] = 0
+        leaves[0, first], leaves[1, first] = chars, tokens
+        for below, above in zip(self.levels, self.levels[1:], strict=False):
+            first, last = first // 2, last // 2
+            above[:, first : last + 1] = below[:, 2 * first : 2 * last + 2 : 2] + below[:, 2 * first + 1 : 2 * last + 2 : 2]
+
+
+class Edited:
+    """A text under edits, with its tree."""
 
-    def edit(self, start: int, removed: int, inserted: str) -> None:
-        total = self.chars()
+    def __init__(self, text: str, tree: Tree) -> None:
+        self.text, self.tree, self.encoded_chars = text, tree, 0
+        self.leaves = (0, 0)
+
+    def edit(self, start: int, removed: int, inserted: str) -> str:
+        """Apply an edit; the region whose tokens must be counted anew, before ``recount``."""
+        total = len(self.text)
         start = min(max(start, 0), total)
         end = min(start + max(removed, 0), total)
-        if not total:
-            first, begin, last, stop = 0, 0, 0, 0
+        first, begin, last, stop = 0, 0, 0, 0
+        if total:
+            first, begin = self.tree.find(max(start - 2, 0))
+            last, last_begin = self.tree.find(min(end + 1, total - 1))
+            stop = last_begin + int(self.tree.levels[0][0, last])
+        region = self.text[begin:start] + inserted + self.text[end:stop]
+        self.text = self.text[:start] + inserted + self.text[end:]
+        self.leaves = (first, last)
+        self.encoded_chars += len(region)
+        return region
+
+    def recount(self, chars: int, tokens: int) -> None:
+        self.tree.put(*self.leaves, chars, tokens)
+
+
+def count_group(texts: list[str], edits: list[list], one: Encoder) -> list[tuple[int, int, int, int]]:
+    """(tokens before, tokens after, characters after, characters encoded for the edits) of some texts.
+
+    The texts' first encoding, and then that of the regions touched by every text's first edit, by
+    every second one and so on, are calls over many texts.
+    """
+    special = [s.decode() for s in one.special]
+
+    def whole(text: str) -> int:
+        return len(one.encode([text.encode()])[0])
+
+    edited: list[Edited] = []
+    for start, group in chunks(texts, CHUNK_BYTES):
+        chars, tokens, at = units_of(group, one)
+        for i in range(len(group)):
+            own = slice(at[i], at[i + 1] - 1)
+            edited.append(Edited(texts[start + i], Tree(chars[own], tokens[own])))
+    marked = [any(s in t for s in special) for t in texts]
+    before = [whole(t) if m else e.tree.tokens() for t, m, e in zip(texts, marked, edited, strict=True)]
+    for k in range(max(map(len, edits), default=0)):
+        turn = [(one_text, some[k]) for one_text, some in zip(edited, edits, strict=True) if k < len(some)]
+        regions = [t.edit(int(e["start"] or 0), int(e["removed"] or 0), e["inserted"] or "") for t, e in turn]
+        for start, group in chunks(regions, CHUNK_BYTES):
+            _, tokens, at = units_of(group, one)
+            run = np.concatenate(([0], np.cumsum(tokens)))
+            for i, n in enumerate((run[at[1:] - 1] - run[at[:-1]]).tolist(), start=start):
+                turn[i][0].recount(len(regions[i]), n)
+    out = []
+    for was_marked, n, e in zip(marked, before, edited, strict=True):
+        if was_marked or any(s in e.text for s in special):
+            out.append((n, whole(e.text), len(e.text), len(e.text) if e.encoded_chars else 0))
         else:
-            first, begin = self.find(max(start - 2, 0))
-            last, last_begin = self.find(min(end + 1, total - 1))
-            stop = last_begin + int(self.levels[0][0, last])
-        region = "".join(self.leaf_text(k) for k in range(first, last + 1))
-        new = region[: start - begin] + inserted + region[end - begin :]
-        for k in range(first + 1, last + 1):
-            if self.levels[0][0, k] or self.levels[0][1, k]:
-                self.put(k, "", 0)
-        self.put(first, new, int(units(new, self.one)[2].sum()))
-        self.encoded_chars += len(new)
+            out.append((n, e.tree.tokens(), len(e.text), e.encoded_chars))
+    return out
 
 
 def count_edited(text: str | None, edits, one: Encoder) -> tuple[int, int, int, int]:
-    """(tokens before, tokens after, characters after, characters encoded for the edits)."""
-    text = text or ""
-    edits = [] if edits is None else list(edits)
-    if one.units > 1_500_000:
-        one.forget()
-    tree = Tree(text, one)
-    before = tree.tokens()
-    for e in edits:
-        tree.edit(int(e["start"] or 0), int(e["removed"] or 0), e["inserted"] or "")
-    after, chars, encoded = tree.tokens(), tree.chars(), tree.encoded_chars
-    special = [s.decode() for s in one.special]
-    if any(s in text for s in special):
-        before = len(one.encode([text.encode()])[0])
-    touched = "".join(tree.changed.get(k, "") for k in tree.changed)
-    if any(s[0] in touched or s in text for s in special) and any(s in tree.text() for s in special):
-        after, encoded = len(one.encode([tree.text().encode()])[0]), chars
-    elif any(s in text for s in special):
-        after = len(one.encode([tree.text().encode()])[0])
-    return before, after, chars, encoded
+    """``count_group`` for one text; null text and edits as empty."""
+    return count_group([text or ""], [[] if edits is None else list(edits)], one)[0]
 
 
 COUNTS = "doc_id long, n_edits int, tokens_before long, tokens_after long, chars_after long, encoded_chars long"
@@ -142,10 +161,11 @@ def count_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         one = encoder(tokenizer)
         for batch in batches:
-            rows = [count_edited(t, e, one) for t, e in zip(batch["text"], batch["edits"], strict=True)]
+            edits = [[] if e is None else list(e) for e in batch["edits"]]
+            rows = count_group([t or "" for t in batch["text"]], edits, one)
             out = pd.DataFrame(rows, columns=["tokens_before", "tokens_after", "chars_after", "encoded_chars"], dtype="int64")
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-            out.insert(1, "n_edits", [0 if e is None else len(e) for e in batch["edits"]])
+            out.insert(1, "n_edits", [len(e) for e in edits])
             yield out
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("edits").cast(EDITS).alias("edits"))
