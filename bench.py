@@ -3,7 +3,8 @@
 ``$BENCH_SF_DIR`` names the tables, ``$BENCH_CPUS`` the local cores. ``land_raw`` derives and
 writes the raw tables, ``build_marts`` the marts and panels from them; the other queries read
 what they stand on, as the transformations of a warehouse do.
-Every query runs once to warm up, then three times; the median counts.
+Every query runs once to warm up, then three times; the median counts. With ``--duckdb`` the
+statements of ``fixtures.oracle`` are timed instead, on the same stored tables and as many threads.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parent
 sys.path.insert(0, str(ROOT))
 
-from fixtures import adapter  # noqa: E402
+from fixtures import adapter, oracle  # noqa: E402
+from fixtures.compare import duck  # noqa: E402
 from fixtures.queries import REGISTRY  # noqa: E402
 from ledgerline.session import build_session  # noqa: E402
 
@@ -80,9 +82,18 @@ def run(sf_dir: str, cpus: str, shared: str) -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    names = sys.argv[1:] or ["land_raw", "build_marts", *HEADLINE]
+    names = [a for a in sys.argv[1:] if a != "--duckdb"] or ["land_raw", "build_marts", *HEADLINE]
     seconds = {}
     adapter.marts(spark, sf_dir)
+    if "--duckdb" in sys.argv:
+        con = duck(sf_dir)
+        con.execute(f"SET threads = {cpus}")
+        for name in [n for n in names if n in REGISTRY]:
+            text = oracle.sql(name, adapter.stored_relations(spark, sf_dir, name))
+            seconds[name] = median_time(lambda: con.execute(f"CREATE OR REPLACE TEMP TABLE result AS {text}"))
+        spark.stop()
+        print(json.dumps({"metric": "duckdb", "queries": seconds}), flush=True)
+        return
     for name in names:
         if name == "land_raw":
             seconds[name] = median_time(lambda: adapter.land(spark, sf_dir))

@@ -319,6 +319,29 @@ def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _once(spark, sf_dir, "marts", lambda _: build_marts(spark, sf_dir))
 
 
+def stored_relations(spark: SparkSession, sf_dir: str, query: str) -> dict[str, str]:
+    """For ``oracle.sql``: the tables that a query reads in Spark, as reads of the same files."""
+    marts(spark, sf_dir)
+    root = _raw_dir(spark, sf_dir)
+    read = {
+        "fact_entries": "fact_entries.parquet",
+        "raw_facts": RAW_FILES["raw_edgar_facts"],
+        "raw_prices": RAW_FILES["raw_yfinance_prices"],
+        "raw_snapshot": RAW_FILES["raw_yfinance_valuation_snapshot"],
+        "raw_series": RAW_FILES["raw_fred_series"],
+    }
+    computing = {"stage_facts", "balance_sheet", "income_statement", "financials"}
+    if query not in computing:
+        read["quarters"] = "marts/fct_financials_quarterly"
+    if query not in computing | {"valuation_daily"}:
+        read["valuation"], read["rate_day"] = "marts/fct_valuation_daily", "marts/rate_days"
+    if query not in computing | {"valuation_daily", "monthly_changes", "quarterly_leverage_changes"}:
+        read["month_change"], read["quarter_change"] = "marts/monthly_changes", "marts/quarterly_leverage_changes"
+    texts = {rel: f"SELECT * FROM read_parquet('{root}/{path}/*.parquet')" for rel, path in read.items()}
+    texts["raw_prices"] = texts["raw_prices"].replace("*", '* REPLACE (CAST("date" AS DATE) AS "date")', 1)
+    return texts
+
+
 def loaded_database(spark: SparkSession, sf_dir: str) -> str:
     """A database with one table per landed raw file."""
     raw_tables(spark, sf_dir)

@@ -8,6 +8,7 @@ unions) so that agreement means something.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from ledgerline.dims import TAG_ALIASES
 
@@ -523,28 +524,30 @@ _PICKED = {"ols_valuation_selected", "report_text"}
 _PICK = "(SELECT ticker FROM company WHERE position > 0 ORDER BY position LIMIT 5)"
 
 
-def _needed(text: str) -> set[str]:
+def _needed(text: str, relations: Mapping[str, str]) -> set[str]:
     found: set[str] = set()
     pending = [text]
     while pending:
         # only relation positions count: names following FROM, JOIN or a comma
-        for name in set(re.findall(r"(?:FROM|JOIN|,)\s+\(?(\w+)", pending.pop())) & RELATIONS.keys() - found:
+        for name in set(re.findall(r"(?:FROM|JOIN|,)\s+\(?(\w+)", pending.pop())) & relations.keys() - found:
             found.add(name)
-            pending.append(RELATIONS[name])
+            pending.append(relations[name])
     return found
 
 
-def sql(name: str) -> str:
+def sql(name: str, stored: Mapping[str, str] | None = None) -> str:
+    """The statement of a query; ``stored`` replaces relations by reads of tables written before."""
     body = QUERIES[name]
-    needed = _needed(body)
+    texts = {**RELATIONS, **(stored or {})}
+    needed = _needed(body, texts)
     if not needed:
         return body.strip()
-    texts = dict(RELATIONS)
     if name in _PICKED:
         needed |= {"company"}
         for rel in ("quarters", "valuation"):
-            texts[rel] = f"SELECT * FROM ({RELATIONS[rel]}) WHERE ticker IN {_PICK}"
-    parts = ",\n".join(f"{rel} AS ({texts[rel]})" for rel in sorted(needed, key=_ORDER.index))
+            texts[rel] = f"SELECT * FROM ({texts[rel]}) WHERE ticker IN {_PICK}"
+    how = "AS MATERIALIZED" if stored else "AS"
+    parts = ",\n".join(f"{rel} {how} ({texts[rel]})" for rel in sorted(needed, key=_ORDER.index))
     return f"WITH {parts}\n{body.strip()}"
 
 
