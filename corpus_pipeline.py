@@ -22,7 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def minhash_near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dups.keep_first(docs)
+    # 45 bands of 6 rows: two sets at 0.8 fail to meet with probability 1.2e-6.
+    return near_dups.keep_first(docs, least=80, bands=45, rows=6)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
