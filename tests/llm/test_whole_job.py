@@ -1,9 +1,11 @@
 """What an operator must not leave out: cases that fixed limits, samples and defaults would miss."""
 
+import random
 import re
 from collections import Counter
 
 import corpus_pipeline
+from ledgerline.llm import rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -41,3 +43,22 @@ def test_pipeline_stage_against_all_pairs_at_80_percent(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     expected = kept_by_all_pairs([tuple(r) for r in docs.select("doc_id", "text").collect()], 80)
     assert {r["doc_id"] for r in corpus_pipeline.minhash_near_dups(spark, docs, sf_dir).collect()} == expected
+
+
+def prose(seed, words=120):
+    rng = random.Random(seed)
+    return " ".join(rng.choice("aeiou") * rng.randint(0, 1) + "".join(rng.choices("bcdefgilmnoprstu", k=rng.randint(2, 8))) for _ in range(words))
+
+
+def judged_with(spark, odd, n_good=300):
+    """doc_id -> kept, of plain texts that are all labelled good and odd unlabelled ones from 10000."""
+    rows = [(i, prose(i)) for i in range(n_good)] + [(10_000 + k, t) for k, t in enumerate(odd)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(n_good)], "doc_id long, quality int, toxic int")
+    return {r["doc_id"]: r["kept"] for r in rules.judge_documents(docs, labels).select("doc_id", "kept").collect()}
+
+
+def test_rules_reject_where_all_labels_are_good(spark):
+    kept = judged_with(spark, [" ".join(w + "##" for w in prose(900 + k).split()) for k in range(5)])
+    assert not any(kept[10_000 + k] for k in range(5))
+    assert sum(kept[i] for i in range(300)) >= 297
