@@ -62,3 +62,25 @@ def test_rules_reject_where_all_labels_are_good(spark):
     kept = judged_with(spark, [" ".join(w + "##" for w in prose(900 + k).split()) for k in range(5)])
     assert not any(kept[10_000 + k] for k in range(5))
     assert sum(kept[i] for i in range(300)) >= 297
+
+
+def test_rules_reject_a_kind_that_one_document_of_many_has(spark):
+    # More documents than any sample of 4096 is likely to hold the odd one of.
+    plain = [(i, prose(i, 30)) for i in range(12_000)]
+    odd = [(20_000, " ".join(w + "#?!" for w in prose(7).split()))]
+    docs = spark.createDataFrame(plain + odd, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 12_000, 30)], "doc_id long, quality int, toxic int")
+    out = rules.judge_documents(docs, labels).where("doc_id >= 20000 or not kept").collect()
+    assert [r["kept"] for r in out if r["doc_id"] == 20_000] == [False]
+    assert len(out) < 120
+
+
+def test_cells_widen_and_leave_none_out(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, prose(i) + " 7?" * i) for i in range(60)], "doc_id long, text string")
+    fine, one = rules.all_cells(docs)
+    monkeypatch.setattr(rules, "CELLS", max(len(fine) // 3, 1))
+    wide, width = rules.all_cells(docs)
+    assert one == 1 and width > 1 and len(wide) <= rules.CELLS
+    counts = rules.statistics([r["text"] for r in docs.collect()])
+    own = rules.cells(rules.ratios(counts[~rules.base_failed(counts)]), width)
+    assert {tuple(c) for c in own.tolist()} == {tuple(c) for c in wide.tolist()}
