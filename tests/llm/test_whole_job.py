@@ -84,3 +84,11 @@ def test_cells_widen_and_leave_none_out(spark, monkeypatch):
     counts = rules.statistics([r["text"] for r in docs.collect()])
     own = rules.cells(rules.ratios(counts[~rules.base_failed(counts)]), width)
     assert {tuple(c) for c in own.tolist()} == {tuple(c) for c in wide.tolist()}
+
+
+def test_rules_see_below_the_usual_limits_and_both_sides(spark):
+    several = " ".join(w + ("#" if k % 13 == 0 else "!" if k % 7 == 0 else str(k % 10) * 5 if k % 4 == 0 else "") for k, w in enumerate(prose(5).split()))
+    tiny = " ".join(w[:1] for w in prose(6).split())
+    kept = judged_with(spark, [several, tiny])
+    assert not kept[10_000] and not kept[10_001]
+    assert sum(kept[i] for i in range(300)) >= 297
