@@ -29,15 +29,12 @@ def tail_probability():
         usable = (n > 2) & (r2 >= 0) & (r2 <= 1)
         out[usable & (r2 == 0)] = 1.0
         out[usable & (r2 == 1)] = 0.0
-        # From a million pairs on 1 - R^2 lacks digits. There the tail is the normal tail with the
-        # first two terms of its expansion in 1/(n-2); what is left out is below t^12 / (384 n^3) of it.
+        # From a million pairs on 1 - R^2 lacks digits and the fraction is long. There the tail is the normal
+        # tail at Hill's z(t, n - 2), whose error is far below the rounding of the logarithm, for large t too.
         many = usable & (r2 > 0) & (r2 < 1) & (n > 1e6)
-        nu = n[many] - 2
-        t = np.sqrt(r2[many] * nu / (1 - r2[many]))
-        normal = np.array([math.erfc(v / math.sqrt(2)) for v in t])
-        density = np.exp(-t * t / 2) / math.sqrt(2 * math.pi)
-        terms = (t**3 + t) / (4 * nu) + (3 * t**7 - 7 * t**5 - 5 * t**3 - 3 * t) / (96 * nu**2)
-        out[many] = np.clip(normal + 2 * density * terms, 0.0, 1.0)
+        w = np.sqrt((n[many] - 2.5) * -np.log1p(-r2[many]))
+        z = w + (w**3 + 3 * w) / (48 * (n[many] - 2.5) ** 2)
+        out[many] = [math.erfc(v / math.sqrt(2)) for v in z]
         todo = usable & (r2 > 0) & (r2 < 1) & ~many
         if not todo.any():
             return out

@@ -101,3 +101,10 @@ def test_p_value_is_smooth_in_small_samples():
     n = np.arange(3, 400)
     p = tail_probability()(n, 4.0 / (4.0 + n - 2))
     assert (np.diff(p) < 0).all() and (np.diff(p, 2) > 0).all()
+
+
+@pytest.mark.parametrize("t", [10.0, 20.0, 30.0, 36.0])
+def test_p_value_of_large_t_agrees_on_both_sides_of_the_seam(t):
+    n = np.array([1e6, 1e6 + 1])
+    p = tail_probability()(n, t * t / (t * t + n - 2))
+    assert 0 < p[1] and p[1] == pytest.approx(p[0], rel=2e-6, abs=0)
