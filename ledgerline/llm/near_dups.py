@@ -17,7 +17,7 @@ probability 4e-6, and the chance that verification passes over a true link is be
 Defined results: a null or wordless text has an empty set and is linked with nothing; a text of
 fewer than ``SHINGLE`` words has its whole sequence as its one shingle. A doc_id that occurs on
 several rows gives one row: the least component and then the least set size among its texts. A
-null doc_id takes no part and gives no row; ``keep_first`` lets such rows pass. An empty table
+null doc_id takes no part and gives no row; ``keep_first`` lets such rows pass and compares rows. An empty table
 gives an empty result. Only ``doc_id`` (an integer) and ``text`` are read.
 """
 
@@ -208,9 +208,19 @@ def near_duplicates(docs: DataFrame, least: int = 85, bands: int = 32, rows: int
 
 
 def keep_first(docs: DataFrame, **parameters) -> DataFrame:
-    """One row of ``docs`` for each component, with all columns; rows without a doc_id pass."""
-    kept = near_duplicates(docs, **parameters).where("kept").select(F.col("doc_id").alias("id"))
+    """One row of ``docs`` for each component, with all columns; rows without a doc_id pass.
+
+    Rows are told apart by doc_id and text, so unlike texts under one doc_id both stay; of a component
+    the row with the least doc_id stays, and one of a doc_id's wordless rows.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, F.col("doc_id").cast("long").alias("id"))
-    once = rows.where("id is not null").join(kept, "id", "left_semi").dropDuplicates(["id"])
+    named = F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("key")
+    rows = docs.select(row, *named)
+    texts = docs.where("doc_id is not null").select(named[1].alias("doc_id"), "text")
+    found = near_duplicates(texts, **parameters).select(F.col("doc_id").alias("key"), "n_shingles", "component_id")
+    placed = rows.where("id is not null").select("id", "key").join(found, "key")
+    alone = F.col("n_shingles") == 0
+    least = placed.groupBy(alone.alias("alone"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("of"))
+    kept = least.agg(F.min(F.struct("id", "key")).alias("k")).select("k.key")
+    once = rows.where("id is not null").join(kept, "key", "left_semi").dropDuplicates(["key"])
     return once.select("row.*").unionByName(rows.where("id is null").select("row.*"))

@@ -5,7 +5,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
-from ledgerline.llm import rules
+from ledgerline.llm import near_dups, rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -92,3 +92,11 @@ def test_rules_see_below_the_usual_limits_and_both_sides(spark):
     kept = judged_with(spark, [several, tiny])
     assert not kept[10_000] and not kept[10_001]
     assert sum(kept[i] for i in range(300)) >= 297
+
+
+def test_unlike_texts_under_one_id_both_stay(spark):
+    one, two, three = prose(1), prose(2), prose(3)
+    rows = [(1, one), (2, one), (2, two), (2, two), (3, two + " end"), (4, three), (4, three + " end"), (5, ""), (5, " "), (None, one)]
+    kept = near_dups.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = sorted((r["doc_id"] or -1, r["text"].strip()[:20]) for r in kept)
+    assert out == [(-1, one[:20]), (1, one[:20]), (2, two[:20]), (4, three[:20]), (5, "")]
