@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, edit_counts, langid, lm, near_dups, packing, pieces, quality, rules, top_k
+from ledgerline.llm import chat, edit_counts, langid, line_dedup, lm, near_dups, packing, pieces, quality, rules, top_k
 from ledgerline.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,29 @@ def op9_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cleaned = line_dedup.LineStore(spark, min_docs=10, min_chars=1).insert(docs).clean(docs)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+ORACLE["op11_line_dedup"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), placed AS (
+  SELECT n, doc_id, lines, unnest(range(1, len(lines) + 1)) AS k FROM texts
+), keyed AS (
+  SELECT n, doc_id, k, lines[k] AS line,
+    translate(trim(lines[k], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM placed
+), frequent AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent f ON keyed.key = f.key GROUP BY n
+"""
