@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, edit_counts, langid, line_dedup, lm, near_dups, packing, pieces, quality, rules, top_k
+from ledgerline.llm import chat, edit_counts, langid, line_dedup, lm, near_dups, packing, pieces, quality, rules, top_k, whitening
 from ledgerline.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,3 +151,8 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.key) AS n_dropp
   sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN frequent f ON keyed.key = f.key GROUP BY n
 """
+
+
+@register
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"), k=4, scale=256)

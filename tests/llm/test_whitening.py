@@ -1,0 +1,119 @@
+"""Whitening: the spectral part against numpy, odd rows, and the query against a direct computation."""
+
+import math
+
+import numpy as np
+import pytest
+
+from ledgerline.llm import queries, whitening
+
+SCHEMA = "vec_id long, embedding array<double>, x int, i int, whitened string"
+
+
+def symmetric(values, seed=1):
+    q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(values), len(values))))
+    return (q * np.array(values, dtype=float)) @ q.T
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [3.0],
+        [2.0, 1.0],
+        [1.0, 0.0, -1.0],
+        [5.0, 5.0, 5.0, 5.0],
+        [4.0, 4.0, 1.0, 1.0, 1.0],
+        list(np.linspace(0, 1, 64)),
+        list(10.0 ** -np.arange(16)),
+        [1e6, 1, 1, 1 + 1e-9, 0, 0, 0],
+        [0.0, 0.0, 0.0],
+        list(np.random.default_rng(3).exponential(size=130)),
+    ],
+)
+def test_components_against_numpy(values):
+    a = symmetric(values)
+    got, basis = whitening.components(a)
+    size = max(np.abs(values).max(), 1e-300)
+    assert np.allclose(got, np.linalg.eigvalsh(a)[::-1], rtol=0, atol=1e-13 * size * len(values) + 1e-300)
+    assert np.abs(basis.T @ basis - np.eye(len(a))).max() < 1e-13 * len(values)
+    assert np.abs(a @ basis - basis * got).max() <= 1e-12 * size * len(values)
+
+
+def test_polar_factor():
+    a = symmetric([3.0, 1.0, -0.5, -2.0, 1e-7, -1e-9])
+    u = whitening.polar(a)
+    assert np.abs(u @ u - np.eye(6)).max() < 1e-12
+    assert np.linalg.eigvalsh(u @ a).min() > -1e-12
+
+
+def direct(rows, k):
+    """{(vec_id, component): (n, deviation, |whitened|, explained)} of rows of one length, by numpy's eigenvectors."""
+    own = [(i, [math.floor(256 * c) for c in v]) for i, v in rows]
+    distinct = np.array(sorted({tuple(x) for _, x in own}))
+    n, sums = len(distinct), [int(s) for s in distinct.sum(axis=0)]
+    centred = distinct - distinct.mean(axis=0)
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    out = {}
+    for i, x in own:
+        deviation = sum((n * a - s) ** 2 for a, s in zip(x, sums, strict=True))
+        for c in range(min(k, len(sums))):
+            value = (np.array(x) - np.array(sums) / n) @ vectors[:, c] / np.sqrt(values[c])
+            out[i, c + 1] = (n, deviation, value, values[c] / values.sum())
+    return out
+
+
+def agrees(found, expected):
+    assert {(r["vec_id"], r["component"]) for r in found} == expected.keys()
+    signs = {}
+    for r in found:
+        n, deviation, value, share = expected[r["vec_id"], r["component"]]
+        assert (r["n"], r["deviation"]) == (n, deviation) and r["explained"] == pytest.approx(share, rel=1e-9)
+        if abs(value) > 1e-6:
+            assert signs.setdefault(r["component"], np.sign(r["whitened"] * value)) == np.sign(r["whitened"] * value)
+        assert abs(r["whitened"]) == pytest.approx(abs(value), rel=1e-8, abs=1e-8)
+
+
+def test_odd_rows(spark):
+    rng = np.random.default_rng(2)
+    good = [(i, rng.standard_normal(5).round(3).tolist()) for i in range(30)] + [(77, [0.0, -0.0, 1.0, -1.0, 50.0])]
+    twice = [(40, good[3][1]), (41, good[3][1]), (3, good[3][1]), (42, [c + 1e-9 for c in good[4][1]])]
+    odd = [
+        (50, None), (51, []), (52, [1.0, None, 2.0, 3.0, 4.0]), (53, [float("nan"), 0.0, 0.0, 0.0, 0.0]), (54, [float("inf"), 0.0, 0.0, 0.0, 0.0]),
+        (55, [1.0, 2.0]), (56, [1e30, 0.0, 0.0, 0.0, 0.0]),
+    ]
+    frame = spark.createDataFrame([(i, v, 1, 2, "w") for i, v in good + twice + odd], SCHEMA).repartition(5)
+    out = whitening.whitened_components(frame, k=4)
+    agrees(out.collect(), direct(good + twice, 4))
+    assert out.count() == 4 * len(good + twice)
+    assert out.first()["identity_error"] < 1e-9
+    assert whitening.whitened_components(frame.limit(0)).count() == 0
+    assert whitening.whitened_components(frame.where("vec_id in (50, 51, 52)")).count() == 0
+
+
+def test_null_ids_few_dimensions_and_no_variance(spark):
+    frame = spark.createDataFrame([(None, [1.0, 2.0]), (1, [1.0, 3.0]), (2, [5.0, 2.0])], "vec_id long, embedding array<float>")
+    out = whitening.whitened_components(frame).collect()
+    assert sorted((r["vec_id"] or -1, r["component"]) for r in out) == [(-1, 1), (-1, 2), (1, 1), (1, 2), (2, 1), (2, 2)]
+    same = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    for r in whitening.whitened_components(same).collect():
+        assert (r["n"], r["deviation"], r["whitened"], r["explained"], r["identity_error"]) == (1, 0, 0.0, 0.0, 1.0)
+    line = spark.createDataFrame([(i, [float(i), 2.0 * i, 0.0]) for i in range(9)], "vec_id long, embedding array<double>")
+    flat = [r for r in whitening.whitened_components(line).collect() if r["component"] > 1]
+    assert all(r["whitened"] == 0 and r["explained"] < 1e-12 for r in flat)
+
+
+def test_deviations_beyond_64_bits(spark):
+    rows = [(1, [1e12, 0.0]), (2, [-1e12, 3.0]), (3, [0.0, 1.0]), (4, [1e7, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = {i: v[1] for (i, c), v in direct(rows, 1).items()}
+    got = {r["vec_id"]: r["deviation"] for r in whitening.whitened_components(frame, k=1).collect()}
+    assert got == {i: v if v < 1 << 63 else None for i, v in expected.items()}
+
+
+def test_query_against_numpy(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()
+    whole = [(r["vec_id"], r["embedding"]) for r in rows if r["embedding"] is not None and all(c is not None and math.isfinite(c) for c in r["embedding"])]
+    out = queries.op13_embedding_whitening(spark, sf_dir).collect()
+    agrees(out, direct(whole, 4))
+    assert {r["identity_error"] for r in out} == {out[0]["identity_error"]} and out[0]["identity_error"] < 1e-9
