@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, edit_counts, langid, line_dedup, lm, near_dups, packing, pieces, quality, rules, top_k, whitening
+from ledgerline.llm import alignment, chat, edit_counts, langid, line_dedup, lm, near_dups, packing, pieces, quality, rules, top_k, whitening
 from ledgerline.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +156,8 @@ FROM keyed LEFT JOIN frequent f ON keyed.key = f.key GROUP BY n
 @register
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"), k=4, scale=256)
+
+
+@register
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest_documents(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), tokenizer(PIECE_BPE))
