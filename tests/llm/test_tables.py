@@ -84,7 +84,7 @@ def test_rules_of_odd_rows(docs, none, labels):
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} <= {1, 4, 5}
 
 
-def brute_components(rows):
+def brute_components(rows, least=85):
     sets = {}
     for i, text in rows:
         w = WORD.findall((text or "").translate(LOWER))
@@ -106,7 +106,7 @@ def brute_components(rows):
         return x
 
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= least * (len(sets[a]) + len(sets[b]) - n):
             a, b = sorted((find(a), find(b)))
             root[b] = a
     return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
@@ -305,7 +305,7 @@ def test_pipeline_against_its_stages_by_brute_force(spark, sf_dir):
     left = rows[rows["doc_id"].isin(graded[graded["predicted"] == 1]["doc_id"])]
     judged = rules.judge_documents(spark.createDataFrame(left, docs.schema), known).toPandas()
     left = left[left["doc_id"].isin(judged[judged["kept"]]["doc_id"])]
-    groups = brute_components(zip(left["doc_id"], left["text"], strict=True))
+    groups = brute_components(zip(left["doc_id"], left["text"], strict=True), 80)
     left = left[left["doc_id"].map(lambda i: groups[i][2])]
     placed = corpus_pipeline.run(spark, sf_dir).toPandas()
     assert set(placed["doc_id"]) == set(left["doc_id"])
