@@ -19,6 +19,7 @@ from ledgerline.plans import serving, warehouse
 from ledgerline.schemas import RAW_FACTS
 from ledgerline.session import shared_dir
 from ledgerline.sources.landing import RAW_FILES, load_raw, read_raw, write_raw
+from ledgerline.sources.publication import current_location, read_current
 
 EXTRA_TICKER = "S-NONE"  # R9: in the company list, without data
 
@@ -261,7 +262,7 @@ def land(spark: SparkSession, sf_dir: str) -> dict[str, int]:
     entries = _entries_path(spark, sf_dir)
     counts = {"fact_entries": write_raw(raw_facts(spark, sf_dir), entries)}
     tables = {
-        "raw_edgar_facts": resolve_aliases(spark.read.schema(RAW_FACTS).parquet(entries), alias_dim(spark)),
+        "raw_edgar_facts": resolve_aliases(read_current(spark, entries, RAW_FACTS), alias_dim(spark)),
         "raw_yfinance_prices": raw_prices(spark, sf_dir),
         "raw_yfinance_valuation_snapshot": raw_snapshot(spark, sf_dir),
         "raw_fred_series": raw_series(spark, sf_dir),
@@ -286,7 +287,7 @@ def raw_tables(spark: SparkSession, sf_dir: str, tables: Iterable[str] = tuple(R
 def fact_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed entries before alias resolution."""
     raw_tables(spark, sf_dir, ["raw_edgar_facts"])
-    return spark.read.schema(RAW_FACTS).parquet(_entries_path(spark, sf_dir))
+    return read_current(spark, _entries_path(spark, sf_dir), RAW_FACTS)
 
 
 # ---- the marts, and what else is written from the raw tables ---------------------------
@@ -337,7 +338,7 @@ def stored_relations(spark: SparkSession, sf_dir: str, query: str) -> dict[str,
         read["valuation"], read["rate_day"] = "marts/fct_valuation_daily", "marts/rate_days"
     if query not in computing | {"valuation_daily", "monthly_changes", "quarterly_leverage_changes"}:
         read["month_change"], read["quarter_change"] = "marts/monthly_changes", "marts/quarterly_leverage_changes"
-    texts = {rel: f"SELECT * FROM read_parquet('{root}/{path}/*.parquet')" for rel, path in read.items()}
+    texts = {rel: f"SELECT * FROM read_parquet('{current_location(spark, f'{root}/{path}')}/*.parquet')" for rel, path in read.items()}
     texts["raw_prices"] = texts["raw_prices"].replace("*", '* REPLACE (CAST("date" AS DATE) AS "date")', 1)
     return texts
 

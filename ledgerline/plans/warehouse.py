@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.quality import check_not_null, require_clean
+from ledgerline.operators.quality import check_not_null
 from ledgerline.plans import rate_sensitivity, staging, statements, valuation
+from ledgerline.sources.publication import publish, read_current
 
 # Fixed values: (table -> columns that must not be null).
 NOT_NULL_RULES = {
@@ -69,14 +70,14 @@ def register_views(frames: Mapping[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(name)
 
 
-def write_mart(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Write a mart range-partitioned and sorted by its keys; return the table read back.
+def write_mart(df: DataFrame, path: str, keys: list[str], not_null: Sequence[str] = (), name: str = "") -> DataFrame:
+    """Replace a mart by ``df``, range-partitioned and sorted by its keys; return the table read back.
 
-    Range partitions follow sampled row counts, so a ticker holding much of the data spans
-    several files, and file statistics prune by ticker and date.
+    Ranges follow the rows, so a ticker holding much of the data spans several files, and file
+    statistics prune by ticker and date. Every row is computed once, counted and checked on the way.
     """
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    publish(df, path, not_null=not_null, sort_by=keys, name=name)
+    return read_current(df.sparkSession, path, df.schema)
 
 
 def build_warehouse(
@@ -87,18 +88,17 @@ def build_warehouse(
 ) -> dict[str, DataFrame]:
     """Raw tables to marts on disk, each mart computed once from the ones before it.
 
-    A mart with a null in one of its ``gate`` columns ends the build with an error, before any
-    mart that reads it. The default asks for the keys of every mart; ``NOT_NULL_RULES`` also asks
-    for ratios, which companies without liabilities or equity on file do not have.
+    A mart with a null in one of its ``gate`` columns ends the build with an error: it isn't published,
+    the table of before stays, and no mart that reads it is built. The default asks for the keys of
+    every mart; ``gate=NOT_NULL_RULES`` asks for all published rules, also for ratios, which companies without
+    liabilities or equity on file do not have.
     """
     staged = stage_all(raw)
     register_views(staged)
     marts: dict[str, DataFrame] = {}
 
     def emit(name: str, frame: DataFrame) -> DataFrame:
-        marts[name] = write_mart(frame, f"{out_dir.rstrip('/')}/{name}", MART_KEYS[name])
-        if gate.get(name):
-            require_clean(check_not_null(marts, {name: gate[name]}))
+        marts[name] = write_mart(frame, f"{out_dir.rstrip('/')}/{name}", MART_KEYS[name], gate.get(name, ()), name)
         marts[name].createOrReplaceTempView(name)
         return marts[name]
 

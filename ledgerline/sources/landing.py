@@ -6,11 +6,13 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.schemas import RAW_TABLES
+from ledgerline.sources.documents import Accounts
+from ledgerline.sources.publication import publish, publish_table, read_current
 
 # Raw table -> landed file.
 RAW_FILES = {
@@ -21,11 +23,12 @@ RAW_FILES = {
 }
 
 
-def write_raw(df: DataFrame, path: str) -> int:
-    """Overwrite a parquet directory; the row count is observed during the write."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+def write_raw(df: DataFrame, path: str, accounts: Accounts | None = None) -> int:
+    """Replace a landed table, all at once; the row count is observed during the write.
+
+    ``accounts`` of the documents that ``df`` reads are settled before the new rows are shown.
+    """
+    return publish(df, path, accounts=accounts)
 
 
 def read_raw(spark: SparkSession, raw_dir: str, tables: Iterable[str] = tuple(RAW_FILES)) -> dict[str, DataFrame]:
@@ -34,7 +37,7 @@ def read_raw(spark: SparkSession, raw_dir: str, tables: Iterable[str] = tuple(RA
     for table in tables:
         path = f"{raw_dir.rstrip('/')}/{RAW_FILES[table]}"
         try:
-            found[table] = spark.read.schema(RAW_TABLES[table]).parquet(path)
+            found[table] = read_current(spark, path, RAW_TABLES[table])
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -44,17 +47,15 @@ def read_raw(spark: SparkSession, raw_dir: str, tables: Iterable[str] = tuple(RA
 def load_raw(spark: SparkSession, raw_dir: str, database: str = "raw", location: str | None = None) -> dict[str, int]:
     """Create or replace one table per landed file; returns rows per loaded table.
 
-    ``location`` is the shared folder of a new database; the warehouse folder when not given.
+    ``location`` is the shared folder of a new database; the warehouse folder when not given. A
+    table shows its old rows until all the new ones are there.
     """
     at = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
-    counts = {}
-    for table, frame in read_raw(spark, raw_dir).items():
-        seen = Observation()
-        observed = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
-        observed.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{table}")
-        counts[table] = seen.get["rows"]
-    return counts
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    return {
+        table: publish_table(frame, f"{database}.{table}", f"{root}/{table}") for table, frame in read_raw(spark, raw_dir).items()
+    }
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
