@@ -3,31 +3,33 @@
 Documents are read by directory, one task per group of files. The layout names the entity in
 the path (``ticker=MSFT/tag=Assets/...``), which Spark turns into columns and prunes on.
 
-Nothing is dropped in silence: a document that isn't what its schema says, or a number that must
-be whole and isn't, ends the read with an error that names the trouble.
+Nothing is dropped in silence: a document that isn't one whole value of its schema, a file without
+content, or a number that must be whole and isn't, ends the read with an error that names the trouble.
 """
 
 from __future__ import annotations
 
 import csv
-import io
 import re
-from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline import schemas
 from ledgerline.dims import START_DATE, alias_dim
 from ledgerline.functions.scalars import nan_to_null, tolerant_double
 from ledgerline.operators.aliases import floor_date, resolve_aliases
+from ledgerline.sources.documents import Accounts, SourceError, parse, plain, read_documents, require_content
 
 FACT_COLUMNS = schemas.RAW_FACTS.fieldNames()
+PRICE_COLUMNS = ["date", "close", "volume"]
 
 
-def _parsed(documents: DataFrame, payload: str, schema) -> DataFrame:
-    return documents.withColumn("_doc", F.from_json(payload, schema, {"mode": "FAILFAST"})).drop(payload)
+def _parsed(documents: DataFrame, payload: str, schema, keys: list[str]) -> DataFrame:
+    return parse(documents, payload, schema, F.concat_ws(", ", *keys))
 
 
 def _whole(column: str, kind: str = "bigint") -> Column:
@@ -37,26 +39,19 @@ def _whole(column: str, kind: str = "bigint") -> Column:
     return F.when(value.isNull() | (value == F.floor(value)), value.cast(kind)).otherwise(broken.cast(kind))
 
 
-def _read_json(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
-    """One document per file under key=value directories, keys as string columns."""
-    columns = ", ".join(f"{name} string" for name in ["value", *keys])
-    text = spark.read.schema(columns).option("wholetext", "true").format("text").load(path)
-    return _parsed(text, "value", schema)
-
-
 def flatten_company_concept(documents: DataFrame, payload: str | None = None) -> DataFrame:
     """One row per entry of ``units.USD``; other units and absent arrays give no rows.
 
     ``documents`` holds ticker, tag and either a text column ``payload`` or a parsed ``_doc``.
     """
-    parsed = _parsed(documents, payload, schemas.CONCEPT_PAYLOAD) if payload else documents
+    parsed = _parsed(documents, payload, schemas.CONCEPT_PAYLOAD, ["ticker", "tag"]) if payload else documents
     entries = parsed.select("ticker", "tag", F.explode("_doc.units.USD").alias("_fact")).select("ticker", "tag", "_fact.*")
     return entries.withColumns({"val": _whole("val"), "fy": _whole("fy", "int")})
 
 
-def read_company_concepts(spark: SparkSession, path: str) -> DataFrame:
+def read_company_concepts(spark: SparkSession, path: str, accounts: Accounts | None = None) -> DataFrame:
     """Every ``ticker=*/tag=*`` concept document below ``path``, flattened."""
-    return flatten_company_concept(_read_json(spark, path, schemas.CONCEPT_PAYLOAD, ["ticker", "tag"]))
+    return flatten_company_concept(read_documents(spark, path, ["ticker", "tag"], schemas.CONCEPT_PAYLOAD, accounts))
 
 
 def raw_facts(flattened: DataFrame, start: str = START_DATE, aliases: DataFrame | None = None) -> DataFrame:
@@ -80,15 +75,15 @@ def union_tolerant(frames: list[DataFrame], columns: list[str] | None = None) ->
 
 def flatten_series(documents: DataFrame, payload: str | None = None) -> DataFrame:
     """(date, value, series_id) per observation; text that is no number becomes null."""
-    parsed = _parsed(documents, payload, schemas.SERIES_PAYLOAD) if payload else documents
+    parsed = _parsed(documents, payload, schemas.SERIES_PAYLOAD, ["series_id"]) if payload else documents
     return parsed.select("series_id", F.explode("_doc.observations").alias("_obs")).select(
         F.col("_obs.date").alias("date"), tolerant_double("_obs.value").alias("value"), "series_id"
     )
 
 
-def read_series(spark: SparkSession, path: str) -> DataFrame:
+def read_series(spark: SparkSession, path: str, accounts: Accounts | None = None) -> DataFrame:
     """Every ``series_id=*`` document below ``path`` in one read."""
-    return flatten_series(_read_json(spark, path, schemas.SERIES_PAYLOAD, ["series_id"]))
+    return flatten_series(read_documents(spark, path, ["series_id"], schemas.SERIES_PAYLOAD, accounts))
 
 
 def shape_prices(raw: DataFrame) -> DataFrame:
@@ -110,29 +105,58 @@ def shape_prices(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """``ticker=*`` CSV downloads, each read by its own header line; tickers stay text."""
-    files = spark.read.schema("value string, ticker string").option("wholetext", "true").format("text").load(path)
-    wanted = ["date", "close", "volume"]
+def first_levels(header: str) -> list[str]:
+    """The first-level names of a CSV header line, in lower case: ``Close`` and ``('Close', 'MSFT')`` both give close."""
+    return [re.sub(r"^\W*(\w+).*$", r"\1", c).lower() for c in next(csv.reader([header]), [])]
+
+
+def price_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """{first-level names of a header: files that begin with it}, from one pass over the lines.
+
+    Only a header names all the wanted columns, so the pass brings back one line for each file. A
+    file without such a line ends the read, an empty file too.
+    """
+    listed = require_content(spark, path)
+    lines = spark.read.format("text").schema("value string").load(path)
+    named = [F.col("value").rlike(rf"(?i)(^|\W){name}(\W|$)") for name in PRICE_COLUMNS]
+    headers = lines.where(reduce(Column.__and__, named)).select("value", F.col("_metadata.file_path").alias("file"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    missing = set(listed)
+    for row in headers.toLocalIterator():
+        file, names = unquote(row["file"]), tuple(first_levels(row["value"]))
+        if set(PRICE_COLUMNS) <= set(names):
+            if plain(file) not in missing:
+                raise SourceError(f"prices with two headers: {file}")
+            missing.remove(plain(file))
+            layouts.setdefault(names, []).append(file)
+    if missing:
+        raise SourceError(f"prices without the columns {', '.join(PRICE_COLUMNS)}: {', '.join(sorted(missing))}")
+    return layouts
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for text, ticker in zip(batch["value"], batch["ticker"], strict=True):
-                lines = csv.reader(io.StringIO(text or ""))
-                names = [re.sub(r"^\W*(\w+).*$", r"\1", c).lower() for c in next(lines, wanted)]
-                missing = set(wanted) - set(names)
-                if missing:
-                    raise ValueError(f"prices of {ticker} have no column {', '.join(sorted(missing))}")
-                at = [names.index(c) for c in wanted]
-                found = [[line[k] or None for k in at] for line in lines if line]
-                yield pd.DataFrame(found, columns=wanted, dtype=object).assign(ticker=ticker)
 
-    return shape_prices(files.mapInPandas(rows, "date string, close string, volume string, ticker string"))
+def read_prices(spark: SparkSession, path: str) -> DataFrame:
+    """``ticker=*`` CSV downloads, each read by its own header line; tickers stay text.
+
+    Two passes, both native: the header lines first, then one CSV scan for each layout, which
+    parses the wanted columns only and splits long files. A line with too few or too many cells
+    ends the read, and so does a header that isn't a file's first line.
+    """
+    scans = []
+    for names, files in price_layouts(spark, path).items():
+        wanted = {names.index(c): c for c in PRICE_COLUMNS}
+        schema = StructType([StructField(wanted.get(k, f"_cell{k}"), StringType()) for k in range(len(names))])
+        reader = spark.read.schema(schema.add("ticker", StringType())).options(header=True, mode="FAILFAST", basePath=path)
+        # Malformed lines are only seen if all cells are parsed.
+        reader = reader.option("columnPruning", False)
+        scans.append(reader.csv(files).select(*PRICE_COLUMNS, "ticker"))
+    if not scans:
+        return spark.createDataFrame([], schemas.RAW_PRICES)
+    return shape_prices(reduce(DataFrame.unionByName, scans))
 
 
 def shape_snapshot(documents: DataFrame, payload: str | None = None) -> DataFrame:
     """One row per ticker document; keys missing from it are null."""
-    parsed = _parsed(documents, payload, schemas.SNAPSHOT_PAYLOAD) if payload else documents
+    parsed = _parsed(documents, payload, schemas.SNAPSHOT_PAYLOAD, ["ticker"]) if payload else documents
     return parsed.select(
         "ticker",
         _whole("_doc.marketCap").alias("market_cap"),
@@ -146,6 +170,6 @@ def shape_snapshot(documents: DataFrame, payload: str | None = None) -> DataFram
     )
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, accounts: Accounts | None = None) -> DataFrame:
     """Every ``ticker=*`` snapshot document below ``path``."""
-    return shape_snapshot(_read_json(spark, path, schemas.SNAPSHOT_PAYLOAD, ["ticker"]))
+    return shape_snapshot(read_documents(spark, path, ["ticker"], schemas.SNAPSHOT_PAYLOAD, accounts))
