@@ -245,6 +245,47 @@ RELATIONS["valuation"] = """
            round(enterprise_value_approx / nullif(ebitda_ttm, 0), 2) AS ev_to_ebitda_approx, r.value AS fed_funds_rate
     FROM valued v ASOF LEFT JOIN policy_rate r ON v.price_date >= r.obs_date"""
 
+# ---- with missing quarters: every third company lacks one in each fourth year -------------------
+
+RELATIONS["gap_facts"] = """
+    SELECT * FROM facts WHERE NOT (CAST(substr(ticker, 2) AS BIGINT) % 3 = 1 AND year(period_end) % 4 = 3 AND month(period_end) = 6)"""
+_INCOME = ["reported_quarter", "reported_year", "bucketed", "bucket", "fourth", "fiscal_quarter_rows", "income"]
+for _name in _INCOME:
+    RELATIONS[f"gap_{_name}"] = re.sub(rf"\b(FROM|JOIN) (facts|{'|'.join(_INCOME)})\b", r"\1 gap_\2", RELATIONS[_name])
+
+# ---- what was known on each filing date: the same relations over the facts filed by then -------
+
+RELATIONS["version_row"] = """
+    SELECT ticker, concept, tag, form, fy, fp, CAST(nullif("start", '') AS DATE) AS period_start, CAST("end" AS DATE) AS period_end,
+           CAST(filed AS DATE) AS filed, val,
+           CAST(date_diff('day', CAST(nullif("start", '') AS DATE), CAST("end" AS DATE)) AS INTEGER) AS period_length_days
+    FROM raw_facts WHERE (form = '10-Q' OR form = '10-K') AND filed IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY ticker, concept, ifnull("start", ''), "end", filed
+        ORDER BY form ASC NULLS FIRST, fy DESC NULLS LAST, fp ASC NULLS FIRST, tag ASC NULLS FIRST, val DESC NULLS LAST) = 1"""
+
+RELATIONS["filing_day"] = "SELECT DISTINCT ticker AS who, filed AS day FROM version_row"
+
+RELATIONS["known_facts"] = """
+    SELECT v.* REPLACE (v.ticker || '@' || CAST(d.day AS VARCHAR) AS ticker)
+    FROM filing_day d JOIN version_row v ON v.ticker = d.who AND v.filed <= d.day
+    QUALIFY row_number() OVER (PARTITION BY d.who, d.day, concept, period_start, period_end ORDER BY filed DESC) = 1"""
+
+_STATEMENTS = [
+    "facts", "balance", "reported_quarter", "reported_year", "bucketed", "bucket", "fourth", "fiscal_quarter_rows", "income", "quarters",
+]
+for _name in _STATEMENTS[1:]:
+    RELATIONS[f"known_{_name}"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(_STATEMENTS)})\b", r"\1 known_\2", RELATIONS[_name])
+
+RELATIONS["state_quarter"] = """
+    SELECT split_part(ticker, '@', 1) AS ticker, CAST(split_part(ticker, '@', 2) AS DATE) AS known_from, * EXCLUDE (ticker)
+    FROM known_quarters"""
+
+RELATIONS["state_best"] = """
+    SELECT d.who AS ticker, d.day, q.period_end, q.ebitda_ttm, q.total_debt, q.cash_and_equivalents
+    FROM filing_day d LEFT JOIN (SELECT * FROM state_quarter WHERE ebitda_ttm IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY ticker, known_from ORDER BY period_end DESC) = 1) q
+      ON q.ticker = d.who AND q.known_from = d.day"""
+
 # ---- changes and fits ------------------------------------------------------------------
 
 RELATIONS["month_last"] = """
@@ -419,6 +460,42 @@ QUERIES["asof_keyed"] = """
 QUERIES["asof_keyless"] = """
     SELECT p.ticker, p.price_date, r.obs_date, r.value FROM prices p ASOF LEFT JOIN policy_rate r ON p.price_date >= r.obs_date"""
 QUERIES["valuation_daily"] = "SELECT * FROM valuation"
+QUERIES["income_statement_contiguous"] = """
+    SELECT i.* EXCLUDE (ebitda_ttm, trailing_quarters_available), CAST(w.total AS BIGINT) AS ebitda_ttm, w.n AS trailing_quarters_available
+    FROM gap_income i JOIN (
+        SELECT a.ticker, a.period_start, a.period_end, sum(b.ebitda) AS total, count(*) AS n
+        FROM gap_income a JOIN gap_income b
+          ON a.ticker = b.ticker AND b.period_end <= a.period_end AND b.period_end >= a.period_end - 290
+        GROUP BY ALL) w ON i.ticker = w.ticker AND i.period_start = w.period_start AND i.period_end = w.period_end"""
+QUERIES["fact_versions"] = """
+    SELECT *, filed AS known_from, lead(filed) OVER (PARTITION BY ticker, concept, period_start, period_end ORDER BY filed) AS known_to
+    FROM version_row"""
+# A row reads the same as in the company's state before when all its columns do; runs of such states are one row.
+QUERIES["financials_first_filed"] = """
+    SELECT any_value(x.r.ticker) AS ticker, {0}, min(x.day) AS known_from, CASE WHEN count(x.until) = count(*) THEN max(x.until) END AS known_to FROM (
+        SELECT *, sum(fresh) OVER (PARTITION BY r.ticker, r.period_end ORDER BY day) AS run FROM (
+            SELECT q.r, s.day, s.until, CASE WHEN lag(s.nth) OVER w = s.nth - 1 AND lag(q.read) OVER w = q.read THEN 0 ELSE 1 END AS fresh
+            FROM (SELECT state_quarter AS r, CAST(row({1}) AS VARCHAR) AS read FROM state_quarter) q
+            JOIN (SELECT who, day, row_number() OVER c AS nth, lead(day) OVER c AS until FROM filing_day
+                  WINDOW c AS (PARTITION BY who ORDER BY day)) s ON q.r.ticker = s.who AND q.r.known_from = s.day
+            WINDOW w AS (PARTITION BY q.r.ticker, q.r.period_end ORDER BY s.day))) x
+    GROUP BY x.r.ticker, x.r.period_end, x.run"""
+_READ = [
+    "period_end", "filed_date", "total_assets", "current_assets", "total_liabilities", "current_liabilities", "stockholders_equity",
+    "total_debt", "cash_and_equivalents", "current_ratio", "debt_to_equity", "liabilities_to_assets", "revenue", "operating_income",
+    "net_income", "ebitda", "ebitda_ttm",
+]
+QUERIES["financials_first_filed"] = QUERIES["financials_first_filed"].format(
+    ", ".join(f"any_value(x.r.{c}) AS {c}" for c in _READ), ", ".join(_READ)
+)
+QUERIES["valuation_first_filed"] = """
+    SELECT v.*, market_cap_approx + ifnull(reported_total_debt, 0) - ifnull(cash_and_equivalents, 0) AS enterprise_value_approx,
+           round(enterprise_value_approx / nullif(ebitda_ttm, 0), 2) AS ev_to_ebitda_approx, r.value AS fed_funds_rate
+    FROM (SELECT p.ticker, p.price_date, p.close_price, p.close_price * s.shares_outstanding AS market_cap_approx,
+                 f.period_end AS latest_filed_period_end, f.ebitda_ttm, f.total_debt AS reported_total_debt, f.cash_and_equivalents
+          FROM prices p JOIN raw_snapshot s USING (ticker)
+          ASOF LEFT JOIN state_best f ON p.ticker = f.ticker AND p.price_date >= f.day) v
+    ASOF LEFT JOIN policy_rate r ON v.price_date >= r.obs_date"""
 QUERIES["not_null_checks"] = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM {source}"
     for table, source, columns in [

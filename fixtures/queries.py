@@ -15,7 +15,7 @@ from ledgerline.operators.latest import latest_by
 from ledgerline.operators.pivot import conditional_pivot
 from ledgerline.operators.series import resample_last
 from ledgerline.plans import rate_sensitivity as rs
-from ledgerline.plans import serving, staging, statements, summary, valuation, warehouse
+from ledgerline.plans import serving, staging, statements, summary, valuation, visibility, warehouse
 from ledgerline.schemas import FINANCIALS, RAW_FACTS
 from ledgerline.sources import landing, payloads
 
@@ -261,6 +261,30 @@ def valuation_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.valuation_mart(_staged(spark, sf_dir, PRICES, SNAPSHOT, SERIES), _quarters(spark, sf_dir))
 
 
+@register
+def income_statement_contiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing totals over the calendar; every third company lacks the second quarter of each fourth year."""
+    number, end = F.substring("ticker", 2, 18).cast("long"), F.col("period_end")
+    lacking = (number % 3 == 1) & (F.year(end) % 4 == 3) & (F.month(end) == 6)
+    return statements.income_statement(_facts(spark, sf_dir).filter(~lacking), contiguous=True)
+
+
+@register
+def fact_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visibility.fact_versions(adapter.raw_tables(spark, sf_dir, [FACTS])[FACTS])
+
+
+@register
+def financials_first_filed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visibility.financials_as_known(fact_versions(spark, sf_dir))
+
+
+@register
+def valuation_first_filed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = _staged(spark, sf_dir, PRICES, SNAPSHOT, SERIES)
+    return warehouse.valuation_mart_as_known(staged, adapter.raw_tables(spark, sf_dir, [FACTS])[FACTS])
+
+
 @register
 def not_null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.not_null_report(adapter.marts(spark, sf_dir))

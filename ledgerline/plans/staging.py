@@ -11,20 +11,19 @@ from ledgerline.operators.latest import latest_by
 FORMS = ("10-Q", "10-K")  # fixed value: the forms that report periodic statements
 
 
-def stage_facts(raw: DataFrame) -> DataFrame:
-    """Latest filed version of every (ticker, concept, period).
+def same_day() -> list:
+    """Among versions of one period filed on one day, the first in this order counts."""
+    return ["form", F.desc("fy"), "fp", "tag", F.desc("val")]
 
-    A null and an empty start denote the same instant. Versions filed on one day are settled by
-    form, fy (newest), fp, tag, then the larger value, so reruns agree. A later filter on the
-    period or the concept passes below the dedupe, since those are its keys.
-    """
-    reported = raw.filter(F.col("form").isin(*FORMS)).withColumn("start", F.expr("nullif(start, '')"))
-    newest = latest_by(
-        reported,
-        ["ticker", "concept", "start", "end"],
-        [F.desc("filed"), "form", F.desc("fy"), "fp", "tag", F.desc("val")],
-    )
-    return newest.selectExpr(
+
+def reported_facts(raw: DataFrame) -> DataFrame:
+    """The facts of periodic statements; a null and an empty start denote the same instant."""
+    return raw.filter(F.col("form").isin(*FORMS)).withColumn("start", F.expr("nullif(start, '')"))
+
+
+def typed_facts(facts: DataFrame) -> DataFrame:
+    """Dates as dates, and the length of the period."""
+    return facts.selectExpr(
         "ticker",
         "concept",
         "tag",
@@ -38,6 +37,15 @@ def stage_facts(raw: DataFrame) -> DataFrame:
     ).withColumn("period_length_days", days_between("period_start", "period_end"))
 
 
+def stage_facts(raw: DataFrame) -> DataFrame:
+    """Latest filed version of every (ticker, concept, period).
+
+    Versions filed on one day are settled by form, fy (newest), fp, tag, then the larger value, so
+    reruns agree. A later filter on the period or the concept passes below the dedupe, since those are its keys.
+    """
+    return typed_facts(latest_by(reported_facts(raw), ["ticker", "concept", "start", "end"], [F.desc("filed"), *same_day()]))
+
+
 def stage_prices(raw: DataFrame) -> DataFrame:
     return raw.filter("close is not null").selectExpr(
         "ticker", "cast(date as date) as price_date", "close as close_price", "volume"

@@ -28,6 +28,7 @@ DURATION_ITEMS = {
 FLOWS = list(DURATION_ITEMS.values())
 
 TRAILING_QUARTERS = 4
+TRAILING_DAYS = 290  # fixed value: the ends of four quarters in a row lie within these
 
 Days = tuple[int, int]  # inclusive bounds of a duration class
 
@@ -156,16 +157,25 @@ def derived_fourth_quarters(facts: DataFrame, quarter_days: Days = QUARTER_DAYS,
     return fiscal_quarters(facts, quarter_days, year_days).filter("derived").drop("derived")
 
 
-def income_statement(facts: DataFrame, quarter_days: Days = QUARTER_DAYS, year_days: Days = YEAR_DAYS) -> DataFrame:
+def income_statement(
+    facts: DataFrame, quarter_days: Days = QUARTER_DAYS, year_days: Days = YEAR_DAYS, contiguous: bool = False
+) -> DataFrame:
     """Fiscal quarters with operating income, EBITDA and its trailing four-row total.
 
-    The trailing window counts rows, not calendar quarters. Equal period ends are ordered by
-    period start.
+    The trailing window counts rows, not calendar quarters: after a missing quarter four rows span
+    more than a year. Equal period ends are ordered by period start. With ``contiguous`` the window is
+    the calendar's instead: the quarters that ended in the ``TRAILING_DAYS`` days up to the row's end, so that
+    fewer than four are available after a gap and ``financials`` shows no total. Both rows of
+    two with one period end are in each other's window then.
     """
-    trailing = (
-        "over (partition by ticker order by period_end, period_start"
-        f" rows between {TRAILING_QUARTERS - 1} preceding and current row)"
-    )
+    if contiguous:
+        day = "datediff(period_end, date'1970-01-01')"
+        trailing = f"over (partition by ticker order by {day} range between {TRAILING_DAYS} preceding and current row)"
+    else:
+        trailing = (
+            "over (partition by ticker order by period_end, period_start"
+            f" rows between {TRAILING_QUARTERS - 1} preceding and current row)"
+        )
     return (
         fiscal_quarters(facts, quarter_days, year_days)
         .filter("operating_income is not null")

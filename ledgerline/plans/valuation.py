@@ -60,7 +60,11 @@ def valuation_daily(prices: DataFrame, snapshot: DataFrame, quarters: DataFrame,
     it when its measured size allows and otherwise shuffles, splitting hot tickers.
     """
     rated = with_policy_rate(market_caps(prices, snapshot), series, "price_date")
-    known = with_public_financials(rated, quarters, "price_date")
+    return valued(with_public_financials(rated, quarters, "price_date"))
+
+
+def valued(known: DataFrame) -> DataFrame:
+    """Enterprise value and its multiple on rows that know their market cap, statements and rate."""
     value = F.col("market_cap_approx") + either_zero("reported_total_debt") - either_zero("cash_and_equivalents")
     return known.select(
         "ticker",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.quality import check_not_null
 from ledgerline.plans import rate_sensitivity, staging, statements, valuation
+from ledgerline.plans import visibility as known_by_day
 from ledgerline.sources.publication import publish, read_current
 
 # Fixed values: (table -> columns that must not be null).
@@ -65,6 +66,16 @@ def valuation_mart(staged: Mapping[str, DataFrame], quarters: DataFrame) -> Data
     )
 
 
+def valuation_mart_as_known(staged: Mapping[str, DataFrame], raw_facts: DataFrame, contiguous: bool = False) -> DataFrame:
+    return known_by_day.valuation_as_known(
+        staged["stg_yfinance_prices"],
+        staged["stg_yfinance_valuation_snapshot"],
+        known_by_day.fact_versions(raw_facts),
+        staged["stg_fred_series"],
+        contiguous,
+    )
+
+
 def register_views(frames: Mapping[str, DataFrame]) -> None:
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)
@@ -85,6 +96,8 @@ def build_warehouse(
     raw: Mapping[str, DataFrame],
     out_dir: str,
     gate: Mapping[str, Sequence[str]] = MART_KEYS,
+    visibility: str = "last_filed",
+    contiguous: bool = False,
 ) -> dict[str, DataFrame]:
     """Raw tables to marts on disk, each mart computed once from the ones before it.
 
@@ -92,7 +105,13 @@ def build_warehouse(
     the table of before stays, and no mart that reads it is built. The default asks for the keys of
     every mart; ``gate=NOT_NULL_RULES`` asks for all published rules, also for ratios, which companies without
     liabilities or equity on file do not have.
+
+    ``visibility="first_filed"`` values each day by what the filings had said by then
+    (``plans.visibility``) instead of by each fact's last filing; the quarterly marts stay as they
+    are. ``contiguous`` asks trailing totals for four quarters in a row.
     """
+    if visibility not in ("last_filed", "first_filed"):
+        raise ValueError(f"visibility is last_filed or first_filed, not {visibility}")
     staged = stage_all(raw)
     register_views(staged)
     marts: dict[str, DataFrame] = {}
@@ -103,9 +122,12 @@ def build_warehouse(
         return marts[name]
 
     balance = emit("fct_balance_sheet_quarterly", statements.balance_sheet(staged["stg_edgar_facts"]))
-    income = emit("fct_income_statement_quarterly", statements.income_statement(staged["stg_edgar_facts"]))
+    income = emit("fct_income_statement_quarterly", statements.income_statement(staged["stg_edgar_facts"], contiguous=contiguous))
     quarters = emit("fct_financials_quarterly", statements.financials(balance, income))
-    emit("fct_valuation_daily", valuation_mart(staged, quarters))
+    if visibility == "first_filed":
+        emit("fct_valuation_daily", valuation_mart_as_known(staged, raw["raw_edgar_facts"], contiguous))
+    else:
+        emit("fct_valuation_daily", valuation_mart(staged, quarters))
     return marts
 
 

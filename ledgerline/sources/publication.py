@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, StringType, StructType
@@ -35,12 +34,11 @@ class CheckFailed(ValueError):
 
 def versions(spark: SparkSession, path: str) -> list[tuple[int, int]]:
     """(version, rows) of every finished version, oldest first; empty where nothing was published."""
-    try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(f"{path.rstrip('/')}/{LOG}")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    at = f"{path.rstrip('/')}/{LOG}"
+    place, files = _files(spark, at)
+    if not files.exists(place):
         return []
+    log = spark.read.schema(LOG_SCHEMA).parquet(at)
     return sorted((r["version"], r["rows"]) for r in log.collect())
 
 
@@ -155,10 +153,16 @@ def _place(code: Column, bounds: Sequence[int]) -> Column:
     return F.aggregate(F.array(*[F.lit(1 << k) for k in range(steps - 1, -1, -1)]), F.lit(0), step)
 
 
+def _files(spark: SparkSession, path: str) -> tuple:
+    """(the path, the file system it lies in) as the cluster's Hadoop client sees them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that no reader uses."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, files = _files(spark, path)
+    files.delete(place, True)
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
