@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.frames import cut, small_batches
-from ledgerline.llm.subwords import encoded
+from ledgerline.llm.subwords import encoded, encoder
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -61,6 +61,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                     out.append((name, k, start, length, zlib.crc32(part), *[part] * with_ids))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
             yield frame.astype({"doc_id": "Int64"})
+        # Workers live on through later stages; what they remember need not.
+        encoder(tokenizer).forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut_up, schema)
 
