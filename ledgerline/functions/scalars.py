@@ -60,10 +60,36 @@ def month_start(value: Column | str) -> Column:
 
 
 def signed_fixed(value: Column | str, digits: int, signed: bool = False) -> Column:
-    """Fixed-point text such as ``+1.25``, null for null; half-up rounding."""
-    value = _col(value)
-    # format_string would print a null as (truncated) text
-    return F.when(value.isNotNull(), F.format_string(f"%{'+' if signed else ''}.{digits}f", value))
+    """Fixed-point text such as ``+1.25``, null for null; the binary value rounded exactly, ties to even.
+
+    0.125 gives 0.12 and 2.675, whose binary value lies below, 2.67. The fraction's product with the power of ten is
+    taken in two parts whose sum is exact, so ties are told from values beside them. A negative value that rounds
+    to zero keeps its sign; no number reads ``nan``, an infinite one ``inf``.
+    """
+    value = _col(value).cast("double")
+    size, scale = F.abs(value), float(10**digits)
+    whole = F.floor(size)  # a bigint
+    part = size - whole
+    split = part * 134217729.0  # 2^27 + 1: the upper half of the digits
+    upper = split - (split - part)
+    product = part * scale
+    missing = (upper * scale - product) + (part - upper) * scale
+    kept = F.floor(product)
+    rest = product - kept
+    odd = (kept if digits else whole) % 2 == 1
+    tie_up = (missing > 0) | ((missing == 0) & odd)
+    last = kept + F.when((rest > 0.5) | ((rest == 0.5) & tie_up), 1).otherwise(0)
+    carry = F.when(last >= int(scale), 1).otherwise(0)
+    number = (whole + carry).cast("string")
+    if digits:
+        behind = F.lpad((last - carry * int(scale)).cast("string"), digits, "0")
+        number = F.concat(number, F.lit("."), behind)
+    else:
+        number = (whole + last).cast("string")
+    number = F.when(F.isnan(value), "nan").when(size == float("inf"), "inf").when(size < 9e18, number)
+    number = F.coalesce(number, F.format_string(f"%.{digits}f", size))  # whole numbers beyond a bigint
+    sign = F.when(value.cast("string").startswith("-"), "-").otherwise("+" if signed else "")
+    return F.when(value.isNotNull(), F.concat(sign, number))
 
 
 def iso_date(value: Column | str) -> Column:

@@ -1,95 +1,51 @@
-"""Two-sided p-value of a simple-regression slope.
+"""Two-sided p-value of a simple-regression slope, as a column expression.
 
-Spark SQL has no Student t distribution, so this is the one place Python runs in the
-execution path. It sees one row per fitted group, never the observations.
+Spark SQL has no Student t distribution. With nu = n - 2 and z = sqrt(-nu ln(1 - R^2)) the tail of
+the slope's t statistic is Q(z) / Q(0), where
+
+    Q(z) = integral from z on of exp(-x^2 / 2) h(x) dx,   h(x) = x / sqrt(1 - exp(-x^2 / nu)).
+
+h is smooth and nearly flat, the normal tail's factor does the rest; so one Gauss-Legendre rule,
+stretched to where the integrand falls below exp(-45) of its start, serves every sample size. The relative error
+is some 1e-12 from three pairs to a million million, also where p is as small as 1e-300.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+NODES = 48
+REACH = 45.0  # the integrand's exponent at the last node
 
-def tail_probability():
-    """Return ``f(n, r_squared) -> p`` on numpy arrays.
 
-    With t^2 = R^2 (n-2) / (1-R^2) the two-sided tail is the regularised incomplete beta
-    I_x(a, 1/2) at x = 1-R^2, a = (n-2)/2, evaluated by its continued fraction. The function
-    is local, hence shipped by value: workers need numpy and pandas but not this package.
-    """
+def _rule() -> Column:
+    """The nodes and weights on [0, 1] as an array of (v, w)."""
+    nodes, weights = np.polynomial.legendre.leggauss(NODES)
+    pairs = zip(((nodes + 1) / 2).tolist(), (weights / 2).tolist(), strict=True)
+    return F.array(*[F.struct(F.lit(v).alias("v"), F.lit(w).alias("w")) for v, w in pairs])
 
-    def compute(n, r_squared):
-        n = np.asarray(n, dtype="float64")
-        r2 = np.asarray(r_squared, dtype="float64")
-        out = np.full(n.shape, np.nan)
-        usable = (n > 2) & (r2 >= 0) & (r2 <= 1)
-        out[usable & (r2 == 0)] = 1.0
-        out[usable & (r2 == 1)] = 0.0
-        # From a million pairs on 1 - R^2 lacks digits and the fraction is long. There the tail is the normal
-        # tail at Hill's z(t, n - 2), whose error is far below the rounding of the logarithm, for large t too.
-        many = usable & (r2 > 0) & (r2 < 1) & (n > 1e6)
-        w = np.sqrt((n[many] - 2.5) * -np.log1p(-r2[many]))
-        z = w + (w**3 + 3 * w) / (48 * (n[many] - 2.5) ** 2)
-        out[many] = [math.erfc(v / math.sqrt(2)) for v in z]
-        todo = usable & (r2 > 0) & (r2 < 1) & ~many
-        if not todo.any():
-            return out
 
-        a = (n[todo] - 2.0) / 2.0
-        x = 1.0 - r2[todo]
-        b = np.full(a.shape, 0.5)
+def _scaled_tail(z: Column, nu: Column) -> Column:
+    """Q(z) exp(z^2 / 2) up to a factor that depends on nu alone."""
+    width = F.sqrt(z * z + 2 * REACH) - z
 
-        # gamma(a + 1/2) / gamma(a) by its asymptotic series at a + 64, taken back step by step:
-        # one formula for every sample size, its relative error below 1e-14.
-        ab = a + 64
-        ratio = np.sqrt(ab) * (1 - 1 / (8 * ab) + 1 / (128 * ab**2) + 5 / (1024 * ab**3) - 21 / (32768 * ab**4))
-        for k in range(64):
-            ratio = ratio * (a + k) / (a + k + 0.5)
-        front = ratio / math.sqrt(math.pi) * np.exp(a * np.log1p(-r2[todo])) * np.sqrt(r2[todo])
+    def add(total: Column, node: Column) -> Column:
+        step = width * node["v"]
+        x = z + step
+        smooth = x / F.sqrt(-F.expm1(-(x * x) / nu))
+        return total + node["w"] * F.exp(-(step * (z + step / 2))) * smooth
 
-        # The fraction converges fast on the side of the mean; use symmetry on the other.
-        fit = r2[todo]
-        flip = x > (a + 1) / (a + b + 2)
-        p, q, z = np.where(flip, b, a), np.where(flip, a, b), np.where(flip, fit, x)
-        tiny = 1e-300
-        c = np.ones(a.shape)
-        d = 1 - (p + q) * z / (p + 1)
-        d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-        h = d.copy()
-        live = np.ones(a.shape, dtype=bool)
-        # The fraction needs some multiple of the square root of a; what has not settled by then is unknown.
-        for m in range(1, 1000 + 20 * int(np.sqrt(a.max()))):
-            if not live.any():
-                break
-            for num in (
-                m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m)),
-                -(p + m) * (p + q + m) * z / ((p + 2 * m) * (p + 2 * m + 1)),
-            ):
-                d = 1 + num * d
-                d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-                c = 1 + num / c
-                c = np.where(np.abs(c) < tiny, tiny, c)
-                step = d * c
-                h = np.where(live, h * step, h)
-            live &= np.abs(step - 1) > 1e-15
-        value = front * h / p
-        out[todo] = np.where(live, np.nan, np.clip(np.where(flip, 1 - value, value), 0.0, 1.0))
-        return out
-
-    return compute
+    return width * F.aggregate(_rule(), F.lit(0.0), add)
 
 
 def slope_p_value(n: Column | str, r_squared: Column | str) -> Column:
-    """p-value column from the pair count and R^2; null where R^2 is null."""
-    compute = tail_probability()
-
-    @F.pandas_udf("double")
-    def tail(counts: pd.Series, fits: pd.Series) -> pd.Series:
-        return pd.Series(compute(counts, fits))
-
-    p_value = tail(n, r_squared)
-    return F.when(~F.isnan(p_value), p_value)
+    """p-value from the pair count and R^2; null where R^2 is null or there are fewer than three pairs."""
+    pairs = F.col(n) if isinstance(n, str) else n
+    fit = F.col(r_squared) if isinstance(r_squared, str) else r_squared
+    nu = pairs.cast("double") - 2
+    exponent = nu * F.log1p(-fit)  # -z^2
+    tail = F.exp(exponent / 2) * _scaled_tail(F.sqrt(-exponent), nu) / _scaled_tail(F.lit(0.0), nu)
+    inside = (pairs > 2) & (fit >= 0) & (fit < 1)
+    return F.when(inside, F.least(tail, F.lit(1.0))).when((pairs > 2) & (fit == 1), F.lit(0.0))

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from ledgerline.functions.student import tail_probability
+from ledgerline.functions.student import slope_p_value
 from ledgerline.operators.regression import ols, ols_long, with_trend_line
 
 
@@ -25,20 +25,31 @@ def series_p(n, r2):
     return 1 - 2 / math.pi * (math.asin(s) + s * math.sqrt(c2) * total)
 
 
-@pytest.mark.parametrize("n", [3, 4, 6, 7, 20, 67, 131, 335, 8158, 81466])
-@pytest.mark.parametrize("r2", [1e-9, 1e-6, 0.0001, 0.007, 0.1, 0.5, 0.9, 0.999])
-def test_p_value_against_series(n, r2):
-    got = float(tail_probability()([n], [r2])[0])
-    assert got == pytest.approx(series_p(n, r2), abs=2e-10)
+@pytest.fixture
+def p_values(spark):
+    """The p-values of some (n, R^2), in order."""
 
+    def compute(n, r2):
+        pairs = [(k, float(a), None if b is None else float(b)) for k, (a, b) in enumerate(zip(n, r2, strict=True))]
+        df = spark.createDataFrame(pairs, "k int, n double, r2 double").select("k", slope_p_value("n", "r2").alias("p"))
+        return [r["p"] for r in df.orderBy("k").collect()]
 
-def test_p_value_table_points():
-    p = tail_probability()
-    for t, nu in ((2.2281, 10), (12.706, 1)):
-        assert float(p([nu + 2], [t * t / (t * t + nu)])[0]) == pytest.approx(0.05, abs=1e-4)
-    assert float(p([335], [0.007])[0]) == pytest.approx(0.126, abs=1e-3)
-    assert [float(v) for v in p([10, 10], [0.0, 1.0])] == [1.0, 0.0]
-    assert float(p([10**9], [4e-9])[0]) == pytest.approx(0.0455, abs=1e-4)  # two sigma at a huge sample
+    return compute
+
+
+def test_p_value_against_series(p_values):
+    points = [(n, r2) for n in (3, 4, 6, 7, 20, 67, 131, 335, 8158, 81466) for r2 in (1e-9, 1e-6, 0.0001, 0.007, 0.1, 0.5, 0.9, 0.999)]
+    got = p_values(*zip(*points, strict=True))
+    assert got == pytest.approx([series_p(n, r2) for n, r2 in points], abs=2e-10)
+
+
+def test_p_value_table_points(p_values):
+    nus = {2.2281: 10, 12.706: 1}
+    for t, nu in nus.items():
+        assert p_values([nu + 2], [t * t / (t * t + nu)])[0] == pytest.approx(0.05, abs=1e-4)
+    assert p_values([335], [0.007])[0] == pytest.approx(0.126, abs=1e-3)
+    assert p_values([10, 10, 10**9], [0.0, 1.0, 4e-9]) == pytest.approx([1.0, 0.0, 0.0455], abs=1e-4)
+    assert p_values([2, 1, 0, 10], [0.5, 0.5, 0.5, None]) == [None] * 4
 
 
 def fit(spark, points, **kw):
@@ -81,30 +92,40 @@ def test_groups_long_form_and_trend(spark):
 
 
 @pytest.mark.parametrize("n", [1e7, 1e9, 1e12])
-@pytest.mark.parametrize("t", [0.01, 1.7, 1.96, 5.0])
-def test_p_value_meets_the_normal_limit(n, t):
-    r2 = t * t / (t * t + n - 2)
+def test_p_value_meets_the_normal_limit(p_values, n):
+    ts = [0.01, 1.7, 1.96, 5.0]
     # The t tail is the normal tail with its first correction in 1/n.
-    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
-    expected = math.erfc(t / math.sqrt(2)) + 2 * density * (t**3 + t) / (4 * (n - 2))
-    assert tail_probability()(np.array([n]), np.array([r2]))[0] == pytest.approx(expected, rel=1e-9)
+    density = [math.exp(-t * t / 2) / math.sqrt(2 * math.pi) for t in ts]
+    expected = [math.erfc(t / math.sqrt(2)) + 2 * d * (t**3 + t) / (4 * (n - 2)) for t, d in zip(ts, density, strict=True)]
+    assert p_values([n] * 4, [t * t / (t * t + n - 2) for t in ts]) == pytest.approx(expected, rel=1e-9)
+
+
+@pytest.mark.parametrize("t", [0.01, 1.0, 1.96, 3.0, 5.0, 10.0, 20.0, 30.0])
+def test_p_value_has_no_seam(p_values, t):
+    """One formula for every sample size: p falls evenly with n, at a million as elsewhere."""
+    for middle in (64, 130, 1000, 10**6):
+        ns = [middle - 1, middle, middle + 1, middle + 2]
+        p = p_values(ns, [t * t / (t * t + n - 2) for n in ns])
+        ratios = [math.log(b / a) for a, b in zip(p, p[1:], strict=False)]
+        assert all(-1 < r < 1e-10 for r in ratios)
+        assert max(ratios) - min(ratios) <= 0.1 * abs(ratios[0]) + 1e-10
 
 
-@pytest.mark.parametrize("t", [0.01, 1.0, 1.96, 3.0, 5.0])
-def test_p_value_agrees_on_both_sides_of_the_seam(t):
-    n = np.array([1e6 - 1, 1e6, 1e6 + 1, 1e6 + 2])
-    p = tail_probability()(n, t * t / (t * t + n - 2))
-    assert p == pytest.approx(p[0], rel=1e-9)
+def test_p_value_keeps_its_digits_in_far_tails(p_values):
+    """For two degrees of freedom the tail is 1 - sqrt(R^2) exactly; for four it is a cubic of it."""
+    r2 = [1e-12, 1e-6, 0.3, 0.999999, 1 - 1e-12]
+    two = [(1 - x) / (1 + math.sqrt(x)) for x in r2]
+    four = [(1 - math.sqrt(x)) ** 2 * (2 + math.sqrt(x)) / 2 for x in r2]
+    assert p_values([4] * 5, r2) == pytest.approx(two, rel=1e-9, abs=0)
+    assert p_values([6] * 4, r2[:4]) == pytest.approx(four[:4], rel=1e-8, abs=0)
 
 
-def test_p_value_is_smooth_in_small_samples():
+def test_p_value_is_smooth_in_small_samples(p_values):
     n = np.arange(3, 400)
-    p = tail_probability()(n, 4.0 / (4.0 + n - 2))
+    p = np.array(p_values(n, 4.0 / (4.0 + n - 2)))
     assert (np.diff(p) < 0).all() and (np.diff(p, 2) > 0).all()
 
 
-@pytest.mark.parametrize("t", [10.0, 20.0, 30.0, 36.0])
-def test_p_value_of_large_t_agrees_on_both_sides_of_the_seam(t):
-    n = np.array([1e6, 1e6 + 1])
-    p = tail_probability()(n, t * t / (t * t + n - 2))
-    assert 0 < p[1] and p[1] == pytest.approx(p[0], rel=2e-6, abs=0)
+def test_fits_run_without_python(spark):
+    df = spark.range(50).selectExpr("cast(id as double) as x", "cast(id * id as double) as y")
+    assert "Python" not in ols(df, "x", {"m": "y"})._jdf.queryExecution().executedPlan().toString()
