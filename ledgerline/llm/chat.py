@@ -10,8 +10,10 @@ texts a backslash is put before a backslash, before a ``#`` that follows a ``#``
 of ``</`` and, in roles, before a colon; so neither marker can occur inside, and taking away each
 backslash that stands before a character gives the original back.
 
-Defined results: a record that is null or no JSON object has layout "broken", one of an undeclared
-shape "unknown"; both have null turns and a null formatted text. Null roles and texts count as
+Defined results: a record that is null or no JSON object, that nests deeper than can be parsed, names a key
+twice or holds half a surrogate pair has layout "broken", one of an undeclared
+shape "unknown"; both have null turns and a null formatted text. A list of turns whose members
+aren't all objects is of no declared shape. Null roles and texts count as
 empty, other values as their JSON text. A record whose list of turns is empty has no field paths
 below the list and is of layout "messages" or "shares" all the same; its formatted text is empty.
 Fields with null values count as present.
@@ -36,6 +38,10 @@ BROKEN, UNKNOWN = "broken", "unknown"
 TURNS = "array<struct<role:string,text:string>>"
 
 
+#: The path of an empty list, behind the list's own.
+EMPTY = "[0]"
+_KEY, _ESCAPED_KEY = re.compile(r"([.\[\]\\])"), r"\\\1"
+
 # ---- layouts --------------------------------------------------------------------------
 
 
@@ -61,7 +67,7 @@ class Layout:
             whole = {f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"}
             return [
                 frozenset(paths) | frozenset(some)
-                for paths in (whole, {f"{self.turns}[]"})
+                for paths in (whole, {f"{self.turns}{EMPTY}"})
                 for n in range(len(self.optional) + 1)
                 for some in combinations(self.optional, n)
             ]
@@ -95,17 +101,28 @@ LAYOUTS = (
 )
 
 
-def field_paths(value: object, at: str = "") -> set[str]:
-    """Paths of all leaves; list members share the path of their list with ``[]``."""
-    if isinstance(value, dict):
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items())) if value else {at}
-    if isinstance(value, list):
-        return set().union(*(field_paths(v, f"{at}[]") for v in value)) if value else {f"{at}[]"}
-    return {at}
+def field_paths(value: object) -> set[str]:
+    """Paths of all leaves; list members share the path of their list with ``[]``, an empty list is a leaf of its own kind.
+
+    Dots, brackets and backslashes in keys are escaped, so a key never reads as a path.
+    """
+    found: set[str] = set()
+    todo = [(value, "")]
+    while todo:
+        one, at = todo.pop()
+        if isinstance(one, dict) and one:
+            todo += [(v, f"{at}.{_KEY.sub(_ESCAPED_KEY, k)}" if at else _KEY.sub(_ESCAPED_KEY, k)) for k, v in one.items()]
+        elif isinstance(one, list):
+            todo += [(v, f"{at}[]") for v in one]
+            if not one:
+                found.add(at + EMPTY)
+        else:
+            found.add(at)
+    return found
 
 
 def fingerprint(paths: set[str] | frozenset[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
+    return hashlib.sha256("\n".join(sorted(paths)).encode(errors="surrogatepass")).hexdigest()
 
 
 def by_fingerprint(layouts: tuple[Layout, ...]) -> dict[str, Layout]:
@@ -142,16 +159,31 @@ def turns_of(record: dict, layout: Layout) -> list[tuple[str, str]]:
     return out
 
 
+def _once(pairs: list[tuple[str, object]]) -> dict:
+    """An object whose keys are told once; of two values under one key one would be lost."""
+    out = dict(pairs)
+    if len(out) < len(pairs):
+        raise ValueError("a key twice")
+    return out
+
+
 def canonical(record: str | None, layouts: dict[str, Layout]) -> tuple[str, list[tuple[str, str]] | None]:
     """(layout name, turns) of one record."""
     try:
-        value = json.loads(record) if record is not None else None
-    except ValueError:
+        value = json.loads(record, object_pairs_hook=_once) if record is not None else None
+    except (ValueError, RecursionError):
         value = None
     if not isinstance(value, dict):
         return BROKEN, None
     layout = layouts.get(fingerprint(field_paths(value)))
-    return (UNKNOWN, None) if layout is None else (layout.name, turns_of(value, layout))
+    if layout is None:
+        return UNKNOWN, None
+    turns = turns_of(value, layout)
+    try:
+        "".join(part for turn in turns for part in turn).encode()
+    except UnicodeEncodeError:
+        return BROKEN, None
+    return layout.name, turns
 
 
 # ---- the template ---------------------------------------------------------------------
@@ -218,9 +250,18 @@ def format_udf(layouts: tuple[Layout, ...] = LAYOUTS):
 
 
 def format_records(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """``records`` with layout, formatted and loss_spans in one struct column ``chat``."""
+    """``records`` with layout, formatted and loss_spans in one struct column ``chat``.
+
+    A column ``chat`` of the input goes on as ``input_chat`` (with more of the prefix where that is taken).
+    """
     small_batches(records.sparkSession)
-    return records.withColumn("chat", format_udf(layouts)(record))
+    columns, kept = records.columns, "chat"
+    while kept in columns:
+        kept = f"input_{kept}"
+    if "chat" in columns:
+        records = records.withColumnRenamed("chat", kept)
+        record = kept if record == "chat" else record
+    return records.withColumn("chat", format_udf(layouts)(f"`{record}`"))
 
 
 DIGEST = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
