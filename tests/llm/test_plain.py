@@ -216,13 +216,13 @@ def test_statistics_of_a_text():
 def test_forest_finds_the_odd_rows():
     rng = np.random.default_rng(1)
     x = np.vstack([np.zeros((300, 3)), rng.random((10, 3)) + 1])
-    forest = rules.IsolationForest.grow(x, 50, 3)
-    forest.calibrate(x, np.arange(310) < 300, 0.0)
+    forest = rules.IsolationForest.grow(x, 50, 3, good=np.arange(310) < 300)
+    forest.settle(x[:300], 0.0)
     assert (forest.scores(x[300:]) > forest.threshold).all() and (forest.scores(x[:300]) <= forest.threshold).all()
-    unlabelled = rules.IsolationForest.grow(x, 5, 3)
-    unlabelled.calibrate(x, np.ones(310, dtype=bool), 0.0)
-    assert unlabelled.threshold == np.inf
-    assert not rules.IsolationForest.grow(x[:0], 5, 3).scores(x).any()
+    unsettled = rules.IsolationForest.grow(x, 5, 3)
+    unsettled.settle(x[:0], 0.0)
+    assert unsettled.threshold == np.inf and unsettled.scores(x).max() <= 1
+    assert (rules.IsolationForest.grow(x[:0], 5, 3).scores(x) <= 1).all() and len(rules.IsolationForest.empty(0).scores(x)) == len(x)
 
 
 def test_links_within_and_across_blocks_connect_as_all_pairs_do():

@@ -1,9 +1,12 @@
 """What an operator must not leave out: cases that fixed limits, samples and defaults would miss."""
 
+import math
 import random
 import re
 from collections import Counter
 
+import numpy as np
+
 import corpus_pipeline
 from ledgerline.llm import near_dups, rules
 
@@ -75,15 +78,87 @@ def test_rules_reject_a_kind_that_one_document_of_many_has(spark):
     assert len(out) < 120
 
 
-def test_cells_widen_and_leave_none_out(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, prose(i) + " 7?" * i) for i in range(60)], "doc_id long, text string")
-    fine, one = rules.all_cells(docs)
-    monkeypatch.setattr(rules, "CELLS", max(len(fine) // 3, 1))
-    wide, width = rules.all_cells(docs)
-    assert one == 1 and width > 1 and len(wide) <= rules.CELLS
+def test_the_forest_is_the_same_however_it_is_summed(spark, monkeypatch):
+    """On the driver or on the executors, in any order and with cells counted in parts: one width, one forest."""
+    docs = spark.createDataFrame([(i, prose(i) + " 7?" * (i % 40)) for i in range(150)], "doc_id long, text string")
     counts = rules.statistics([r["text"] for r in docs.collect()])
-    own = rules.cells(rules.ratios(counts[~rules.base_failed(counts)]), width)
-    assert {tuple(c) for c in own.tolist()} == {tuple(c) for c in wide.tolist()}
+    own = rules.cells(rules.ratios(counts[~rules.base_failed(counts)]))
+    held = rules.all_cells(docs, own[:50])
+    assert held.agg({"n": "sum", "good": "sum"}).first().asDict() == {"sum(n)": len(own), "sum(good)": 50}
+    assert {tuple(r["cell"]) for r in held.collect()} == {tuple(c) for c in own.tolist()}
+    here = rules.forest_of(held, 20, 3)
+    monkeypatch.setattr(rules, "LOCAL_CELLS", 0)
+    monkeypatch.setattr(rules, "PART", 7)
+    for table in (held, held.orderBy("cell").repartition(5)):
+        there = rules.forest_of(table, 20, 3)
+        assert (here.feature == there.feature).all() and (here.value == there.value).all() and (here.path == there.path).all()
+    assert (here.feature >= 0).sum() > 100
+
+
+def test_rules_keep_an_unlabelled_majority(spark):
+    """Most documents are of a harmless kind that no label names; a few odd ones of a third kind still go."""
+
+    def other(seed):
+        rng = random.Random(seed)
+        words = ["".join(rng.choices("bcdefgilmnoprstu", k=rng.randint(6, 12))) for _ in range(120)]
+        return " ".join(w.capitalize() if rng.random() < 0.2 else w for w in words)
+
+    odd = [other(5000 + k) for k in range(700)] + [" ".join(w + "##" for w in prose(900 + k).split()) for k in range(5)]
+    kept = judged_with(spark, odd)
+    assert sum(kept[i] for i in range(300)) >= 297
+    assert sum(kept[10_000 + k] for k in range(700)) >= 600
+    assert not any(kept[10_700 + k] for k in range(5))
+
+
+def test_rules_query_by_brute_force(spark, sf_dir):
+    """The registered query's counts and verdicts against plain loops over words, lines, cells and trees."""
+    from ledgerline.llm import queries
+
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    marks = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    out = {r["doc_id"]: r for r in queries.op10_quality_rules(spark, sf_dir).collect()}
+    assert out.keys() == texts.keys()
+    passed, cell = [], {}
+    for i, text in texts.items():
+        words = WORD.findall(text)
+        runs = Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
+        inside = {k + j for k in range(len(words) - 7) if runs[tuple(words[k : k + 8])] > 1 for j in range(8)}
+        lines = [line for line in text.split("\n") if WORD.search(line)]
+        expected = (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(inside),
+        )
+        r = out[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == expected
+        assert r["base_failed"] == (len(words) < 20 or 100 * len(inside) > 30 * len(words))
+        if not r["base_failed"]:
+            passed.append(i)
+            cell[i] = tuple(rules.cells(rules.ratios(np.array([[r[c] for c in rules.COUNT_NAMES]])))[0].tolist())
+    good = [i for i in passed if marks.get(i) == 1]
+
+    def paths(tree, rows, node=0, level=0):
+        """Path lengths by plain recursion over documents."""
+        mass = 256 * (0.95 * sum(i in good_ones for i in rows) / len(good) + 0.05 * len(rows) / len(passed))
+        columns = list(zip(*(cell[i] for i in rows), strict=True))
+        usable = [f for f, c in enumerate(columns) if max(c) > min(c)]
+        if level == 12 or mass <= 1 or not usable:
+            return dict.fromkeys(rows, level + float(rules._usual_path(np.array(mass))))
+        rng = np.random.default_rng([7, tree, node])
+        f = rng.choice(usable)
+        at = np.float32(rng.uniform(min(columns[f]), max(columns[f])))
+        left, right = [i for i in rows if cell[i][f] <= at], [i for i in rows if cell[i][f] > at]
+        return paths(tree, left, 2 * node + 1, level + 1) | paths(tree, right, 2 * node + 2, level + 1)
+
+    good_ones = set(good)
+    total = Counter()
+    for tree in range(100):
+        total.update(paths(tree, passed))
+    usual = 2 * (math.log(255) + 0.5772156649015329) - 2 * 255 / 256
+    score = {i: 2 ** (-total[i] / 100 / usual) for i in passed}
+    threshold = sorted(score[i] for i in good)[len(good) - 1 - int(0.002 * len(good))]
+    for i in passed:
+        assert abs(out[i]["anomaly"] - score[i]) < 1e-6
+        assert out[i]["kept"] == (score[i] <= threshold) or abs(score[i] - threshold) < 1e-6
+    assert not any(out[i]["kept"] for i in texts if i not in cell)
 
 
 def test_rules_see_below_the_usual_limits_and_both_sides(spark):
