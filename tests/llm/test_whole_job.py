@@ -137,10 +137,11 @@ def test_rules_query_by_brute_force(spark, sf_dir):
 
     def paths(tree, rows, node=0, level=0):
         """Path lengths by plain recursion over documents."""
-        mass = 256 * (0.95 * sum(i in good_ones for i in rows) / len(good) + 0.05 * len(rows) / len(passed))
+        held, as_documents = sum(i in good_ones for i in rows), 256 * 0.05 * len(rows) / len(passed)
+        mass = as_documents + 256 * 0.95 * held / len(good)
         columns = list(zip(*(cell[i] for i in rows), strict=True))
         usable = [f for f, c in enumerate(columns) if max(c) > min(c)]
-        if level == 12 or mass <= 1 or not usable:
+        if level == 12 or not usable or (not held and as_documents <= 1):
             return dict.fromkeys(rows, level + float(rules._usual_path(np.array(mass))))
         rng = np.random.default_rng([7, tree, node])
         f = rng.choice(usable)
