@@ -10,7 +10,8 @@ the best sum of scores. It is, however, the one path all of whose neighbouring p
 apart if they were encoded alone, and every prefix has one such path. The forward state of a prefix
 is therefore its last piece on that path, in place of a score and a back pointer, and a
 step is allowed where the pair of pieces stays apart. Words with a run of marks, whose pieces share one
-rank, are merged directly. The ids equal the library's own.
+rank, are merged directly, with a heap of possible unions and whole blocks of marks at once, so the work
+grows with a run's length and not with its square. The ids equal the library's own.
 
 Defined results: null counts as empty; an empty text has no ids. Characters without a piece become
 their UTF-8 bytes. A mark character in the text itself decodes as a space, as in the library.
@@ -24,6 +25,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 from os.path import commonprefix
 
 import numpy as np
@@ -34,6 +36,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.frames import small_batches
 
 MARK = "▁"
+#: Longest word whose neighbours are all looked at for every merge.
+SHORT = 24
 #: Words whose ids a worker remembers before it forgets all.
 REMEMBERED = 400_000
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -61,6 +65,13 @@ class Pieces:
         self.text = [
             self.raw.get(i, b"" if model.is_control(i) else p.replace(MARK, " ").encode()) for i, p in enumerate(self.piece)
         ]
+        # A long run of marks falls into blocks of the longest piece of marks, if the model merges them so.
+        self.block = max((len(p) for p in self.id if not p.strip(MARK)), default=0)
+        in_blocks = all(
+            self._merged_by_heap(MARK * n) == [MARK * self.block] * (n // self.block - 4) + self._merged_by_heap(MARK * (n % self.block + 4 * self.block))
+            for n in range(8 * self.block, 10 * self.block)
+        )
+        self.block = self.block if in_blocks else 0
         # Pieces that stand alone, by their characters from last to first; "" holds a node's piece.
         self.endings: dict = {}
         for piece in self.id:
@@ -76,6 +87,10 @@ class Pieces:
 
     def merged(self, word: str) -> list[str]:
         """Merge the neighbours with the best-ranked union, the leftmost first, until none is a piece."""
+        if len(word) > SHORT:
+            run = len(word) - len(word.lstrip(MARK))
+            blocks = (run - 4 * self.block) // self.block if self.block and run >= 8 * self.block else 0
+            return [MARK * self.block] * blocks + self._merged_by_heap(word[blocks * self.block :])
         parts = list(word)
         while len(parts) > 1:
             best, at = None, -1
@@ -88,6 +103,30 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _merged_by_heap(self, word: str) -> list[str]:
+        """The same for long words: possible unions wait in a heap, those that are no longer neighbours are passed over."""
+        parts: list[str] = list(word)
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        score = self.score
+        unions = [(-score[u], k, u) for k in range(len(parts) - 1) if (u := parts[k] + parts[k + 1]) in score]
+        heapify(unions)
+        while unions:
+            _, k, union = heappop(unions)
+            j = after[k]
+            # A part that went into another is empty; one that grew spells another union.
+            if not parts[k] or j == len(parts) or parts[k] + parts[j] != union:
+                continue
+            parts[k], parts[j] = union, ""
+            after[k] = j = after[j]
+            if j < len(parts):
+                before[j] = k
+                if (u := union + parts[j]) in score:
+                    heappush(unions, (-score[u], k, u))
+            i = before[k]
+            if i >= 0 and (u := parts[i] + union) in score:
+                heappush(unions, (-score[u], i, u))
+        return [p for p in parts if p]
+
     def stays_apart(self, left: str, right: str) -> bool:
         found = self.apart.get((left, right))
         if found is None:
