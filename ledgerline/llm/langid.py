@@ -4,10 +4,11 @@ For each language the log odds of four kinds of evidence are added up:
 
 * the text's likelihood under byte-trigram counts of documents of known language, cut to that of at
   most ``text_weight`` trigrams, as neighbouring trigrams are not independent;
-* the language declared in the markup, and the language code or top domain in the address: how
-  often such a value goes with a language is counted over all pages, smoothed;
+* the language declared in the markup;
+* the address' suffix (its last label) and the language code in its path: as for the declared language,
+  how often such a value goes with a language is counted over all pages, smoothed;
 * a prior of the host. Counts of a host's pages by language are smoothed by those of its domain,
-  these by those of its suffix, and these by those of all pages.
+  and these by those of all pages.
 
 All counts over pages are grouped aggregations over all pages, taking each page's most likely
 language by its text; a page's own count is left out of its priors. The trigram table has a fixed
@@ -34,7 +35,8 @@ from ledgerline.llm.frames import cut, small_batches, text_udf
 from ledgerline.llm.words import chunks
 
 BUCKETS = 1 << 16
-LEVELS = ("host", "domain", "suffix")
+LEVELS = ("host", "domain")
+SIGNS = ("declared", "code", "suffix")
 
 
 def trigrams(data: bytes) -> np.ndarray:
@@ -133,7 +135,7 @@ def identify(pages: DataFrame, docs: DataFrame, text_weight: int = 60, smoothing
     overall = np.array(list(total), dtype=float) + 1
     overall = F.array(*[F.lit(float(x)) for x in overall / overall.sum()])
     fused = seen
-    for key in (*LEVELS, "declared", "code"):
+    for key in (*LEVELS, *SIGNS):
         fused = fused.join(_voted(seen, key, n), key, "left")
 
     def own(k: Column) -> Column:
@@ -152,7 +154,7 @@ def identify(pages: DataFrame, docs: DataFrame, text_weight: int = 60, smoothing
     fused = fused.withColumn("prior", overall)
     for key in reversed(LEVELS):
         fused = fused.withColumn("prior", smoothed(key, F.col("prior")))
-    for key in ("declared", "code"):
+    for key in SIGNS:
         # Odds of a language given the value over its overall odds: the value's likelihood but for a constant.
         fused = fused.withColumn(
             f"says_{key}", F.transform(F.arrays_zip(smoothed(key, overall).alias("a"), overall.alias("b")), lambda z: F.log(z["a"] / z["b"]))
@@ -160,9 +162,9 @@ def identify(pages: DataFrame, docs: DataFrame, text_weight: int = 60, smoothing
     even = F.array(*[F.lit(0.0)] * n)
     parts = F.arrays_zip(
         F.transform("prior", lambda p: F.log(p)).alias("p"), F.coalesce("text.by_language", even).alias("t"),
-        F.col("says_declared").alias("d"), F.col("says_code").alias("c"),
+        *[F.col(f"says_{key}").alias(key) for key in SIGNS],
     )
-    fused = fused.withColumn("odds", F.transform(parts, lambda z: z["p"] + z["t"] + z["d"] + z["c"]))
+    fused = fused.withColumn("odds", F.transform(parts, lambda z: z["p"] + z["t"] + sum((z[key] for key in SIGNS), F.lit(0.0))))
     fused = fused.withColumn("best", F.array_max("odds"))
     share = F.aggregate("odds", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best")))
     return fused.select(
