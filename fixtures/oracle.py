@@ -573,6 +573,8 @@ QUERIES["report_text"] = f"""
         SELECT section, '', CASE section WHEN 12 THEN 'Per-company beta (market cap %-change per 1pp rate change): '
                ELSE 'Per-company beta (debt-to-equity change per 1pp rate change): ' END || string_agg(line, ', ' ORDER BY line)
         FROM ({QUERIES["trend_summary_text"]}) WHERE section >= 12 GROUP BY section)"""
+QUERIES["report_without_data"] = """
+    SELECT '(no valuation/Fed rate data available)' AS text FROM (SELECT count(*) AS n FROM valuation WHERE ticker = 'S-NONE') WHERE n = 0"""
 QUERIES["ratio_lines"] = """
     SELECT period_end, ticker, 'debt_to_equity' AS ratio, debt_to_equity AS value FROM quarters
     UNION ALL SELECT period_end, ticker, 'current_ratio', current_ratio FROM quarters"""

@@ -375,6 +375,12 @@ def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.trend_text(_quarters(spark, sf_dir), _valuation(spark, sf_dir), display_list(spark, sf_dir))
 
 
+@register
+def report_without_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report for a company that is listed but has neither prices nor filings: every guard for empty input at once."""
+    return summary.trend_text(_quarters(spark, sf_dir), _valuation(spark, sf_dir), [adapter.EXTRA_TICKER])
+
+
 @register
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = adapter.companies(spark, sf_dir).select("ticker", "position")
