@@ -59,37 +59,40 @@ def month_start(value: Column | str) -> Column:
     return F.trunc(_col(value), "MM")
 
 
-def signed_fixed(value: Column | str, digits: int, signed: bool = False) -> Column:
+def let(name: str, value: str, then: str) -> str:
+    """SQL text of ``then`` in which ``name`` stands for ``value``, worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {then}), 1)"
+
+
+def signed_fixed(column: str, digits: int, signed: bool = False) -> Column:
     """Fixed-point text such as ``+1.25``, null for null; the binary value rounded exactly, ties to even.
 
     0.125 gives 0.12 and 2.675, whose binary value lies below, 2.67. The fraction's product with the power of ten is
     taken in two parts whose sum is exact, so ties are told from values beside them. A negative value that rounds
     to zero keeps its sign; no number reads ``nan``, an infinite one ``inf``.
     """
-    value = _col(value).cast("double")
-    size, scale = F.abs(value), float(10**digits)
-    whole = F.floor(size)  # a bigint
-    part = size - whole
-    split = part * 134217729.0  # 2^27 + 1: the upper half of the digits
-    upper = split - (split - part)
-    product = part * scale
-    missing = (upper * scale - product) + (part - upper) * scale
-    kept = F.floor(product)
-    rest = product - kept
-    odd = (kept if digits else whole) % 2 == 1
-    tie_up = (missing > 0) | ((missing == 0) & odd)
-    last = kept + F.when((rest > 0.5) | ((rest == 0.5) & tie_up), 1).otherwise(0)
-    carry = F.when(last >= int(scale), 1).otherwise(0)
-    number = (whole + carry).cast("string")
+    scale = 10**digits
+    odd = "(c.kept" if digits else "(a.whole"
+    up = f"c.rest > 0.5D or (c.rest = 0.5D and (missing > 0D or (missing = 0D and {odd} % 2 = 1))))"
+    carried = f"(a.whole + if(last >= {scale}, 1, 0))"
     if digits:
-        behind = F.lpad((last - carry * int(scale)).cast("string"), digits, "0")
-        number = F.concat(number, F.lit("."), behind)
+        number = f"concat(cast({carried} as string), '.', lpad(cast(last % {scale} as string), {digits}, '0'))"
     else:
-        number = (whole + last).cast("string")
-    number = F.when(F.isnan(value), "nan").when(size == float("inf"), "inf").when(size < 9e18, number)
-    number = F.coalesce(number, F.format_string(f"%.{digits}f", size))  # whole numbers beyond a bigint
-    sign = F.when(value.cast("string").startswith("-"), "-").otherwise("+" if signed else "")
-    return F.when(value.isNotNull(), F.concat(sign, number))
+        number = "cast(a.whole + last as string)"
+    # 2^27 + 1 parts the fraction's digits in an upper and a lower half.
+    number = let("last", f"c.kept + if({up}, 1, 0)", number)
+    number = let("missing", f"(c.upper * {scale}D - b.product) + (part - c.upper) * {scale}D", number)
+    parts = "named_struct('kept', floor(b.product), 'rest', b.product - floor(b.product), 'upper', b.split - (b.split - part))"
+    number = let("c", parts, number)
+    number = let("b", f"named_struct('product', part * {scale}D, 'split', part * 134217729D)", number)
+    number = let("part", "a.size - a.whole", number)
+    number = let("a", "named_struct('size', abs(v), 'whole', floor(abs(v)))", number)
+    number = (
+        f"case when isnan(v) then 'nan' when abs(v) = double('infinity') then 'inf' when abs(v) < 9e18D then {number}"
+        f" else format_string('%.{digits}f', abs(v)) end"  # whole numbers beyond a bigint
+    )
+    sign = f"if(startswith(cast(v as string), '-'), '-', '{'+' if signed else ''}')"
+    return F.expr(let("v", f"cast(`{column}` as double)", f"if(v is null, null, concat({sign}, {number}))"))
 
 
 def iso_date(value: Column | str) -> Column:

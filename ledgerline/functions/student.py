@@ -12,40 +12,40 @@ is some 1e-12 from three pairs to a million million, also where p is as small as
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NODES = 48
+from ledgerline.functions.scalars import let
+
+NODES = 32
 REACH = 45.0  # the integrand's exponent at the last node
 
 
-def _rule() -> Column:
-    """The nodes and weights on [0, 1] as an array of (v, w)."""
+@cache
+def _rule() -> str:
+    """The nodes and weights on [0, 1] as SQL text of an array of (v, w)."""
     nodes, weights = np.polynomial.legendre.leggauss(NODES)
     pairs = zip(((nodes + 1) / 2).tolist(), (weights / 2).tolist(), strict=True)
-    return F.array(*[F.struct(F.lit(v).alias("v"), F.lit(w).alias("w")) for v, w in pairs])
+    return "array(" + ", ".join(f"named_struct('v', {v!r}D, 'w', {w!r}D)" for v, w in pairs) + ")"
 
 
-def _scaled_tail(z: Column, nu: Column) -> Column:
+def _scaled_tail(z: str, nu: str) -> str:
     """Q(z) exp(z^2 / 2) up to a factor that depends on nu alone."""
-    width = F.sqrt(z * z + 2 * REACH) - z
-
-    def add(total: Column, node: Column) -> Column:
-        step = width * node["v"]
-        x = z + step
-        smooth = x / F.sqrt(-F.expm1(-(x * x) / nu))
-        return total + node["w"] * F.exp(-(step * (z + step / 2))) * smooth
-
-    return width * F.aggregate(_rule(), F.lit(0.0), add)
-
-
-def slope_p_value(n: Column | str, r_squared: Column | str) -> Column:
-    """p-value from the pair count and R^2; null where R^2 is null or there are fewer than three pairs."""
-    pairs = F.col(n) if isinstance(n, str) else n
-    fit = F.col(r_squared) if isinstance(r_squared, str) else r_squared
-    nu = pairs.cast("double") - 2
-    exponent = nu * F.log1p(-fit)  # -z^2
-    tail = F.exp(exponent / 2) * _scaled_tail(F.sqrt(-exponent), nu) / _scaled_tail(F.lit(0.0), nu)
-    inside = (pairs > 2) & (fit >= 0) & (fit < 1)
-    return F.when(inside, F.least(tail, F.lit(1.0))).when((pairs > 2) & (fit == 1), F.lit(0.0))
+    at = f"({z} + width * x.v)"
+    each = f"x.w * exp(-(width * x.v) * ({z} + width * x.v / 2)) * {at} / sqrt(-expm1(-({at} * {at}) / {nu}))"
+    return let("width", f"sqrt({z} * {z} + {2 * REACH}D) - {z}", f"width * aggregate(rule, 0D, (total, x) -> total + {each})")
+
+
+def slope_p_value(n: str, r_squared: str) -> Column:
+    """p-value from the columns of the pair count and R^2; null where R^2 is null or there are fewer than three pairs."""
+    # s.e is -z^2.
+    tail = f"exp(s.e / 2) * {let('z', 'sqrt(-s.e)', _scaled_tail('z', 's.nu'))} / {_scaled_tail('0D', 's.nu')}"
+    given = f"named_struct('nu', cast(`{n}` as double) - 2, 'e', (cast(`{n}` as double) - 2) * log1p(-`{r_squared}`))"
+    inside = let("rule", _rule(), let("s", given, f"least({tail}, 1D)"))
+    return F.expr(
+        f"case when `{n}` > 2 and `{r_squared}` >= 0 and `{r_squared}` < 1 then {inside}"
+        f" when `{n}` > 2 and `{r_squared}` = 1 then 0D end"
+    )

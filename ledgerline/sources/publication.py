@@ -1,10 +1,10 @@
 """Tables whose new state appears all at once, checked while it is written.
 
-A published table is a folder with one subfolder for each version and a log, ``_published``, of the
-versions that were finished. A writer fills the next version's folder, checks it by what an
-observation saw during that very write, and only then adds the version's line to the log, a single
-small file. Readers follow the log's last line. A job that is killed or fails its checks leaves a
-folder that no line names; the version of before stays what readers get, and the next writer
+A published table is a folder with one subfolder for each version and a log, ``_published``, in which
+each finished version has an empty file named by its number and rows. A writer fills the next version's
+folder, checks it by what an observation saw during that very write, and only then adds the version's file
+to the log. Readers follow the log's last file. A job that is killed or fails its checks leaves a
+folder that the log doesn't name; the version of before stays what readers get, and the next writer
 overwrites the folder. One writer at a time is assumed.
 
 A folder without a log is read as it is, so plain Parquet landed by others stays readable.
@@ -21,9 +21,8 @@ from pyspark.sql.types import DateType, IntegralType, StringType, StructType
 from ledgerline.sources.documents import Accounts
 
 LOG = "_published"
-LOG_SCHEMA = "version long, rows long"
 #: Quantiles taken of the sort keys while a table is written, and rows of one file of a sorted table.
-QUANTILES = 1024
+QUANTILES = 256
 ROWS_PER_FILE = 2_000_000
 _DAYS = 1 << 17  # dates as numbers of days, from 1790 on, below this
 
@@ -38,8 +37,8 @@ def versions(spark: SparkSession, path: str) -> list[tuple[int, int]]:
     place, files = _files(spark, at)
     if not files.exists(place):
         return []
-    log = spark.read.schema(LOG_SCHEMA).parquet(at)
-    return sorted((r["version"], r["rows"]) for r in log.collect())
+    names = [str(f.getPath().getName()) for f in files.listStatus(place)]
+    return sorted((int(v), int(n)) for v, n in (name.split("-") for name in names if name[0].isdigit()))
 
 
 def _folder(path: str, version: int) -> str:
@@ -96,8 +95,8 @@ def publish(
         files = max(-(-found["rows"] // rows_per_file), 1)
         sorted_by(stored, sort_by, files, found["bounds"] or []).write.mode("overwrite").parquet(target)
         remove(spark, first)
-    line = spark.createDataFrame([(version, found["rows"])], LOG_SCHEMA).coalesce(1)
-    line.write.mode("append").parquet(f"{path.rstrip('/')}/{LOG}")
+    place, files = _files(spark, f"{path.rstrip('/')}/{LOG}/{version:08d}-{found['rows']}")
+    files.create(place, True).close()
     return found["rows"]
 
 
