@@ -64,35 +64,38 @@ def let(name: str, value: str, then: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {then}), 1)"
 
 
-def signed_fixed(column: str, digits: int, signed: bool = False) -> Column:
-    """Fixed-point text such as ``+1.25``, null for null; the binary value rounded exactly, ties to even.
+def fixed_text(value: str, digits: str, signed: str) -> str:
+    """SQL text of a number's fixed-point text; all three are SQL, so one expression can serve many numbers.
 
-    0.125 gives 0.12 and 2.675, whose binary value lies below, 2.67. The fraction's product with the power of ten is
-    taken in two parts whose sum is exact, so ties are told from values beside them. A negative value that rounds
-    to zero keeps its sign; no number reads ``nan``, an infinite one ``inf``.
+    The binary value is rounded exactly, ties to even: 0.125 gives 0.12 and 2.675, whose binary value lies
+    below, 2.67. The fraction's product with the power of ten is taken in two parts whose sum is exact, so ties
+    are told from values beside them. A negative value that rounds to zero keeps its sign; no number reads
+    ``nan``, an infinite one ``inf``, null stays null.
     """
-    scale = 10**digits
-    odd = "(c.kept" if digits else "(a.whole"
-    up = f"c.rest > 0.5D or (c.rest = 0.5D and (missing > 0D or (missing = 0D and {odd} % 2 = 1))))"
-    carried = f"(a.whole + if(last >= {scale}, 1, 0))"
-    if digits:
-        number = f"concat(cast({carried} as string), '.', lpad(cast(last % {scale} as string), {digits}, '0'))"
-    else:
-        number = "cast(a.whole + last as string)"
+    odd = "if(f.d = 0, a.whole, c.kept) % 2 = 1"
+    up = f"c.rest > 0.5D or (c.rest = 0.5D and (missing > 0D or (missing = 0D and {odd})))"
+    behind = "if(f.d = 0, '', concat('.', lpad(cast(last % f.scale as string), f.d, '0')))"
+    number = f"concat(cast(a.whole + if(last >= f.scale, 1, 0) as string), {behind})"
     # 2^27 + 1 parts the fraction's digits in an upper and a lower half.
     number = let("last", f"c.kept + if({up}, 1, 0)", number)
-    number = let("missing", f"(c.upper * {scale}D - b.product) + (part - c.upper) * {scale}D", number)
+    number = let("missing", "(c.upper * f.scale - b.product) + (part - c.upper) * f.scale", number)
     parts = "named_struct('kept', floor(b.product), 'rest', b.product - floor(b.product), 'upper', b.split - (b.split - part))"
     number = let("c", parts, number)
-    number = let("b", f"named_struct('product', part * {scale}D, 'split', part * 134217729D)", number)
+    number = let("b", "named_struct('product', part * f.scale, 'split', part * 134217729D)", number)
     number = let("part", "a.size - a.whole", number)
-    number = let("a", "named_struct('size', abs(v), 'whole', floor(abs(v)))", number)
+    number = let("a", "named_struct('size', abs(f.v), 'whole', floor(abs(f.v)))", number)
     number = (
-        f"case when isnan(v) then 'nan' when abs(v) = double('infinity') then 'inf' when abs(v) < 9e18D then {number}"
-        f" else format_string('%.{digits}f', abs(v)) end"  # whole numbers beyond a bigint
+        f"case when isnan(f.v) then 'nan' when abs(f.v) = double('infinity') then 'inf' when abs(f.v) < 9e18D then {number}"
+        f" else format_string(concat('%.', f.d, 'f'), abs(f.v)) end"  # whole numbers beyond a bigint
     )
-    sign = f"if(startswith(cast(v as string), '-'), '-', '{'+' if signed else ''}')"
-    return F.expr(let("v", f"cast(`{column}` as double)", f"if(v is null, null, concat({sign}, {number}))"))
+    sign = f"if(startswith(cast(f.v as string), '-'), '-', if({signed}, '+', ''))"
+    given = f"named_struct('v', cast({value} as double), 'd', {digits}, 'scale', cast(pow(10, {digits}) as bigint))"
+    return let("f", given, f"if(f.v is null, null, concat({sign}, {number}))")
+
+
+def signed_fixed(column: str, digits: int, signed: bool = False) -> Column:
+    """Fixed-point text of a column, such as ``+1.25``; see ``fixed_text``."""
+    return F.expr(fixed_text(f"`{column}`", str(digits), str(signed).lower()))
 
 
 def iso_date(value: Column | str) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalars import iso_date, pct_change, signed_fixed
+from ledgerline.functions.scalars import fixed_text, pct_change
 from ledgerline.operators.latest import first_and_last, peak_by
 from ledgerline.plans.rate_sensitivity import (
     leverage_regression,
@@ -83,7 +83,7 @@ _NOTHING, _RATE, _CAPS, _LEVERAGE_BREAK, _LEVERAGE_HEAD, _LEVERAGE = range(6)
 _FIT_BREAK, _MARKET_FIT, _MULTIPLE_FIT, _DEBT_FIT, _LIQUIDITY_FIT = range(6, 11)
 _NOTE, _CAP_BETAS, _DEBT_BETAS = range(11, 14)
 
-# The wording of the report.
+# The wording of the report. Each %s takes the next value of the line's row.
 NO_DATA = "(no valuation/Fed rate data available)"
 LEVERAGE_HEADING = "Leverage/liquidity trend across the FULL history, including the hiking cycle itself:"
 NOTE = (
@@ -92,36 +92,73 @@ NOTE = (
 )
 CAP_BETAS_HEADING = "Per-company beta (market cap %-change per 1pp rate change): "
 DEBT_BETAS_HEADING = "Per-company beta (debt-to-equity change per 1pp rate change): "
-
-
-def _lines(df: DataFrame, section: int, text: Column, key: Column | None = None) -> DataFrame:
+WORDING = {
+    _NOTHING: NO_DATA,
+    _RATE: "Fed funds rate: %s%% (low) to %s%% (peak) over %s to %s; most recent value %s%%.",
+    _CAPS: "%s: approx. market cap changed %s%% from %s to %s.",
+    _LEVERAGE_BREAK: "",
+    _LEVERAGE_HEAD: LEVERAGE_HEADING,
+    _LEVERAGE: (
+        "%s: debt/equity was %s as of %s, peaked at %s (%s), now %s (%s). "
+        "Current ratio: %s -> %s over the same window."
+    ),
+    _FIT_BREAK: "",
+    _MARKET_FIT: (
+        "Regression (month-over-month changes, pooled across all %s companies, n=%s company-months): "
+        "a 1 percentage point change in the Fed funds rate is associated with a %s percentage point change "
+        "in market cap that same month (R^2=%s, p=%s)."
+    ),
+    _MULTIPLE_FIT: "Same regression against EV/EBITDA: %s pp change in EV/EBITDA per 1pp rate change (R^2=%s, p=%s).",
+    _DEBT_FIT: (
+        "Regression (quarter-over-quarter changes, pooled, n=%s company-quarters): a 1 percentage point change "
+        "in the Fed funds rate is associated with a %s change in debt-to-equity that quarter (R^2=%s, p=%s)."
+    ),
+    _LIQUIDITY_FIT: "Same regression against the current ratio: %s change per 1pp rate change (R^2=%s, p=%s).",
+    _NOTE: NOTE,
+    _CAP_BETAS: "%s=%s",
+    _DEBT_BETAS: "%s=%s",
+}
+MOST_VALUES = 9
+
+#: A value of a line: a text column, or a number's column with its digits and whether it is signed.
+Value = str | tuple[str, int] | tuple[str, int, bool]
+
+
+def _value(given: Value) -> Column:
+    """A value as (text, number, digits, signed), with a text or a number."""
+    name, digits, signed = (given, None, False) if isinstance(given, str) else (*given, False)[:3]
+    text, number = F.col(name).cast("string"), F.lit(None).cast("double")
+    if digits is not None:
+        text, number = F.lit(None).cast("string"), F.col(name).cast("double")
+    return F.struct(text.alias("t"), number.alias("v"), F.lit(digits or 0).alias("d"), F.lit(signed).alias("s"))
+
+
+def _lines(df: DataFrame, section: int, values: list[Value], key: Column | None = None) -> DataFrame:
     return df.select(
         F.lit(section).alias("section"),
         (F.lit("") if key is None else key).alias("ticker"),
-        text.alias("line"),
+        F.array(*map(_value, values)).alias("values"),
     )
 
 
-def _when_rows(df: DataFrame, present: bool, lines: dict[int, str]) -> DataFrame:
-    """Fixed lines that appear only when ``df`` has rows (or only when it has none)."""
-    counted = df.limit(1).agg(F.count(F.lit(1)).alias("n")).filter("n > 0" if present else "n = 0")
-    each = F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.lit(t).alias("line")) for s, t in lines.items()]))
-    return counted.select(each.alias("_l")).select("_l.section", F.lit("").alias("ticker"), "_l.line")
-
+def _written(lines: DataFrame) -> DataFrame:
+    """The rows' values put into their sections' wording; a value that is unknown reads "nan", so no line is lost.
 
-def _fit_tail(digits: int = 3) -> list[Column | str]:
-    return [
-        F.lit(" (R^2="),
-        signed_fixed("r_squared", digits),
-        F.lit(", p="),
-        signed_fixed("p_value", digits),
-        F.lit(")."),
-    ]
+    Numbers are written by one expression, whatever the number of sections.
+    """
+    written = f"transform(values, g -> coalesce(g.t, {fixed_text('g.v', 'g.d', 'g.s')}, 'nan'))"
+    wording = F.create_map(*[F.lit(x) for pair in WORDING.items() for x in pair])
+    texts = lines.select("section", "ticker", F.expr(written).alias("_texts"), wording[F.col("section")].alias("_wording"))
+    given = ", ".join(f"coalesce(get(_texts, {k}), '')" for k in range(MOST_VALUES))
+    return texts.select("section", "ticker", F.expr(f"format_string(_wording, {given})").alias("line"))
 
 
-def _text(*parts: Column | str) -> Column:
-    """The parts in a row; a value that is unknown reads "nan", so no line is lost."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("nan")) for p in parts])
+def _when_rows(df: DataFrame, present: bool, sections: list[int]) -> DataFrame:
+    """Lines without values that appear only when ``df`` has rows (or only when it has none)."""
+    counted = df.limit(1).agg(F.count(F.lit(1)).alias("n")).filter("n > 0" if present else "n = 0")
+    none = F.array().cast("array<struct<t:string,v:double,d:int,s:boolean>>")
+    each = F.explode(F.array(*map(F.lit, sections))).alias("section")
+    return counted.select(each).select("section", F.lit("").alias("ticker"), none.alias("values"))
 
 
 def trend_lines(
@@ -148,72 +185,32 @@ def trend_lines(
     per_cap = valuation_regression(caps, by_ticker=True).filter(F.col("market_cap_beta").isNotNull())
     per_debt = leverage_regression(debts, by_ticker=True).filter(F.col("debt_to_equity_beta").isNotNull())
 
-    rate = _text(
-        "Fed funds rate: ", signed_fixed("low", 2), "% (low) to ", signed_fixed("peak", 2), "% (peak) over ",
-        iso_date("first_date"), " to ", iso_date("last_date"), "; most recent value ",
-        signed_fixed("latest", 2), "%.",
-    )
-    cap = _text(
-        F.col("ticker"), ": approx. market cap changed ", signed_fixed("pct_change", 0, signed=True),
-        "% from ", iso_date("first_date"), " to ", iso_date("last_date"), ".",
-    )
-    lever = _text(
-        F.col("ticker"), ": debt/equity was ", signed_fixed("first_debt_to_equity", 2), " as of ",
-        iso_date("first_period"), ", peaked at ", signed_fixed("peak_debt_to_equity", 2), " (",
-        iso_date("peak_period"), "), now ", signed_fixed("last_debt_to_equity", 2), " (",
-        iso_date("last_period"), "). Current ratio: ",
-        signed_fixed("first_current_ratio", 2), " -> ", signed_fixed("last_current_ratio", 2), " over the same window.",
-    )
-    market_fit = _text(
-        "Regression (month-over-month changes, pooled across all ", F.col("n_companies").cast("string"),
-        " companies, n=", F.col("n").cast("string"),
-        " company-months): a 1 percentage point change in the Fed funds rate is associated with a ",
-        signed_fixed("beta", 2, signed=True), " percentage point change in market cap that same month",
-        *_fit_tail(),
-    )
-    multiple_fit = _text(
-        "Same regression against EV/EBITDA: ", signed_fixed("beta", 2, signed=True),
-        " pp change in EV/EBITDA per 1pp rate change", *_fit_tail(),
-    )
-    debt_fit = _text(
-        "Regression (quarter-over-quarter changes, pooled, n=", F.col("n").cast("string"),
-        " company-quarters): a 1 percentage point change in the Fed funds rate is associated with a ",
-        signed_fixed("beta", 3, signed=True), " change in debt-to-equity that quarter", *_fit_tail(),
-    )
-    liquidity_fit = _text(
-        "Same regression against the current ratio: ", signed_fixed("beta", 3, signed=True),
-        " change per 1pp rate change", *_fit_tail(),
-    )
-
     def fit(fits: DataFrame, response: str) -> DataFrame:
         return fits.filter((F.col("response") == response) & F.col("beta").isNotNull())
 
+    tail: list[Value] = [("r_squared", 3), ("p_value", 3)]
+    rate: list[Value] = [("low", 2), ("peak", 2), "first_date", "last_date", ("latest", 2)]
+    lever: list[Value] = [
+        "ticker", ("first_debt_to_equity", 2), "first_period", ("peak_debt_to_equity", 2), "peak_period",
+        ("last_debt_to_equity", 2), "last_period", ("first_current_ratio", 2), ("last_current_ratio", 2),
+    ]
+    ticker = F.col("ticker")
     parts = [
-        _when_rows(valuation.select("ticker"), False, {_NOTHING: NO_DATA}),
+        _when_rows(valuation.select("ticker"), False, [_NOTHING]),
         _lines(rate_trend(rates), _RATE, rate),
-        _lines(market_cap_trend(valuation), _CAPS, cap, F.col("ticker")),
-        _when_rows(quarters.select("ticker"), True, {_LEVERAGE_BREAK: "", _LEVERAGE_HEAD: LEVERAGE_HEADING}),
-        _lines(leverage_trend(quarters), _LEVERAGE, lever, F.col("ticker")),
-        _when_rows(market.select("response"), True, {_FIT_BREAK: ""}),
-        _lines(fit(market, "market_cap"), _MARKET_FIT, market_fit),
-        _lines(fit(market, "ev_ebitda"), _MULTIPLE_FIT, multiple_fit),
-        _lines(fit(leverage, "debt_to_equity"), _DEBT_FIT, debt_fit),
-        _lines(fit(leverage, "current_ratio"), _LIQUIDITY_FIT, liquidity_fit),
-        _when_rows(market.select("response").unionByName(leverage.select("response")), True, {_NOTE: NOTE}),
-        _lines(
-            per_cap,
-            _CAP_BETAS,
-            _text(F.col("ticker"), "=", signed_fixed("market_cap_beta", 2, signed=True)),
-            F.col("ticker"),
-        ),
-        _lines(
-            per_debt,
-            _DEBT_BETAS,
-            _text(F.col("ticker"), "=", signed_fixed("debt_to_equity_beta", 3, signed=True)),
-            F.col("ticker"),
-        ),
+        _lines(market_cap_trend(valuation), _CAPS, ["ticker", ("pct_change", 0, True), "first_date", "last_date"], ticker),
+        _when_rows(quarters.select("ticker"), True, [_LEVERAGE_BREAK, _LEVERAGE_HEAD]),
+        _lines(leverage_trend(quarters), _LEVERAGE, lever, ticker),
+        _when_rows(market.select("response"), True, [_FIT_BREAK]),
+        _lines(fit(market, "market_cap"), _MARKET_FIT, ["n_companies", "n", ("beta", 2, True), *tail]),
+        _lines(fit(market, "ev_ebitda"), _MULTIPLE_FIT, [("beta", 2, True), *tail]),
+        _lines(fit(leverage, "debt_to_equity"), _DEBT_FIT, ["n", ("beta", 3, True), *tail]),
+        _lines(fit(leverage, "current_ratio"), _LIQUIDITY_FIT, [("beta", 3, True), *tail]),
+        _when_rows(market.select("response").unionByName(leverage.select("response")), True, [_NOTE]),
+        _lines(per_cap, _CAP_BETAS, ["ticker", ("market_cap_beta", 2, True)], ticker),
+        _lines(per_debt, _DEBT_BETAS, ["ticker", ("debt_to_equity_beta", 3, True)], ticker),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _written(reduce(DataFrame.unionByName, parts))
 
 
 def trend_text(quarters: DataFrame, valuation: DataFrame, tickers: Iterable[str]) -> DataFrame:
