@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -25,6 +27,18 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def release() -> None:
+    """Hand freed memory back to the system, at the end of a task that used much of it.
+
+    A worker lives on through later stages, and several of them share an executor with its heap; the
+    C library would keep what was freed for the worker's next task. Does nothing where it has no such call.
+    """
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder.
 

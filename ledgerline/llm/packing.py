@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.frames import cut, small_batches
+from ledgerline.llm.frames import cut, release, small_batches
 from ledgerline.llm.subwords import encoded, encoder
 
 CAPACITY = 2048
@@ -63,6 +63,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
             yield frame.astype({"doc_id": "Int64"})
         # Workers live on through later stages; what they remember need not.
         encoder(tokenizer).forget()
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut_up, schema)
 
