@@ -1,7 +1,8 @@
 """Landed JSON and CSV documents to tabular frames.
 
 Documents are read by directory, one task per group of files. The layout names the entity in
-the path (``ticker=MSFT/tag=Assets/...``), which Spark turns into columns and prunes on.
+the path (``ticker=MSFT/tag=Assets/...``), which Spark turns into columns and prunes on. Where documents
+are many, they are landed in bundles (``bundles``) with the same names as columns; readers take either.
 
 Nothing is dropped in silence: a document that isn't one whole value of its schema, a file without
 content, or a number that must be whole and isn't, ends the read with an error that names the trouble.
@@ -22,6 +23,7 @@ from ledgerline import schemas
 from ledgerline.dims import START_DATE, alias_dim
 from ledgerline.functions.scalars import nan_to_null, tolerant_double
 from ledgerline.operators.aliases import floor_date, resolve_aliases
+from ledgerline.sources.bundles import VALUE, bundled_documents, is_bundled
 from ledgerline.sources.documents import Accounts, SourceError, parse, plain, read_documents, require_content
 
 FACT_COLUMNS = schemas.RAW_FACTS.fieldNames()
@@ -32,6 +34,15 @@ def _parsed(documents: DataFrame, payload: str, schema, keys: list[str]) -> Data
     return parse(documents, payload, schema, F.concat_ws(", ", *keys))
 
 
+def _read(spark: SparkSession, path: str, keys: list[str], schema: StructType, accounts: Accounts | None) -> DataFrame:
+    """One parsed document (``_doc``) for each file or bundled row below ``path``."""
+    if not is_bundled(spark, path):
+        return read_documents(spark, path, keys, schema, accounts)
+    documents, published = bundled_documents(spark, path, keys)
+    parsed = _parsed(documents, VALUE, schema, keys)
+    return accounts.watch_bundles(parsed, path, published) if accounts else parsed
+
+
 def _whole(column: str, kind: str = "bigint") -> Column:
     """A decimal as a whole number; an error for one with a fraction."""
     value = F.col(column)
@@ -50,8 +61,8 @@ def flatten_company_concept(documents: DataFrame, payload: str | None = None) ->
 
 
 def read_company_concepts(spark: SparkSession, path: str, accounts: Accounts | None = None) -> DataFrame:
-    """Every ``ticker=*/tag=*`` concept document below ``path``, flattened."""
-    return flatten_company_concept(read_documents(spark, path, ["ticker", "tag"], schemas.CONCEPT_PAYLOAD, accounts))
+    """Every ``ticker=*/tag=*`` concept document below ``path``, a file or bundled, flattened."""
+    return flatten_company_concept(_read(spark, path, ["ticker", "tag"], schemas.CONCEPT_PAYLOAD, accounts))
 
 
 def raw_facts(flattened: DataFrame, start: str = START_DATE, aliases: DataFrame | None = None) -> DataFrame:
@@ -82,8 +93,8 @@ def flatten_series(documents: DataFrame, payload: str | None = None) -> DataFram
 
 
 def read_series(spark: SparkSession, path: str, accounts: Accounts | None = None) -> DataFrame:
-    """Every ``series_id=*`` document below ``path`` in one read."""
-    return flatten_series(read_documents(spark, path, ["series_id"], schemas.SERIES_PAYLOAD, accounts))
+    """Every ``series_id=*`` document below ``path``, a file or bundled, in one read."""
+    return flatten_series(_read(spark, path, ["series_id"], schemas.SERIES_PAYLOAD, accounts))
 
 
 def shape_prices(raw: DataFrame) -> DataFrame:
@@ -171,5 +182,5 @@ def shape_snapshot(documents: DataFrame, payload: str | None = None) -> DataFram
 
 
 def read_snapshot(spark: SparkSession, path: str, accounts: Accounts | None = None) -> DataFrame:
-    """Every ``ticker=*`` snapshot document below ``path``."""
-    return shape_snapshot(read_documents(spark, path, ["ticker"], schemas.SNAPSHOT_PAYLOAD, accounts))
+    """Every ``ticker=*`` snapshot document below ``path``, a file or bundled."""
+    return shape_snapshot(_read(spark, path, ["ticker"], schemas.SNAPSHOT_PAYLOAD, accounts))
