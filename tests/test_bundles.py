@@ -2,10 +2,11 @@ import json
 
 import pytest
 
+from fixtures import adapter
 from ledgerline.sources import landing, payloads
 from ledgerline.sources.bundles import land_documents
 from ledgerline.sources.documents import Accounts, SourceError
-from ledgerline.sources.publication import current_location
+from ledgerline.sources.publication import current_location, versions
 
 
 def concept(end, val):
@@ -52,3 +53,11 @@ def test_a_lost_bundle_ends_the_read(spark, tmp_path):
     part.unlink()
     with pytest.raises(SourceError, match="8 documents were published and [0-7] found"):
         payloads.read_snapshot(spark, str(tmp_path / "b"))
+
+
+def test_registered_documents_are_bundled(spark, sf_dir):
+    """No more files than tasks that wrote them, however many companies there are."""
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").count()
+    folder = adapter.snapshot_files(spark, sf_dir)
+    assert versions(spark, folder)[-1][1] == suppliers
+    assert len(spark.read.parquet(current_location(spark, folder)).inputFiles()) < suppliers
