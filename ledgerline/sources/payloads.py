@@ -145,13 +145,56 @@ def price_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[
     return layouts
 
 
+def _first_levels(header: Column) -> Column:
+    """``first_levels`` of a column of header lines."""
+    cells = F.split(header, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    return F.transform(cells, lambda c: F.lower(F.regexp_replace(c, r"(?U)^\W*(\w+).*$", "$1")))
+
+
+def bundled_prices(documents: DataFrame) -> DataFrame:
+    """(date, close, volume, ticker) as text from whole CSV texts, each read by its own header line.
+
+    A first pass finds the different orders of columns; the second parses every line by the order of
+    its text. What ends the read of a file ends it here, naming the ticker.
+    """
+    text = F.coalesce("value", F.lit(""))
+    # Lines of blanks and control characters count as no lines, as in a file.
+    header = F.regexp_extract(text, r"^[\x00-\x20]*([^\r\n]*)", 1)
+    lines = F.filter(F.split(text, r"\r\n|\r|\n", -1), lambda x: x.rlike(r"[^\x00-\x20]"))
+    headed = documents.select("ticker", lines.alias("_lines"), _first_levels(header).alias("_names"))
+    wanted = F.array(*map(F.lit, PRICE_COLUMNS))
+    orders = sorted(tuple(r["_names"]) for r in headed.select("_names").distinct().toLocalIterator() if set(PRICE_COLUMNS) <= set(r["_names"]))
+
+    said = F.concat(F.lit(f"prices without the columns {', '.join(PRICE_COLUMNS)}: "), F.coalesce("ticker", F.lit("?")))
+    known = F.size(F.array_except(wanted, "_names")) == 0
+    checked = headed.filter(F.when(known, True).otherwise(F.raise_error(said).cast("boolean")))
+    each = checked.select("ticker", "_names", F.explode(F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))).alias("_line"))
+    # Few lines name a column, and only those are taken apart.
+    named = reduce(Column.__and__, [F.contains(F.lower("_line"), F.lit(c)) for c in PRICE_COLUMNS])
+    again = named & (F.size(F.array_except(wanted, _first_levels(F.col("_line")))) == 0)
+    said = F.concat(F.lit("prices with two headers: "), F.coalesce("ticker", F.lit("?")))
+    each = each.filter(F.when(again, F.raise_error(said).cast("boolean")).otherwise(True))
+
+    def cells(names: tuple[str, ...]) -> Column:
+        kind = StructType([StructField(name if names.index(name) == k and name in PRICE_COLUMNS else f"_cell{k}", StringType()) for k, name in enumerate(names)])
+        read = F.from_csv("_line", F.lit(kind.simpleString()), {"mode": "FAILFAST"})
+        return F.struct(*[read[c].alias(c) for c in PRICE_COLUMNS])
+
+    if not orders:
+        return each.select(*[F.lit(None).cast("string").alias(c) for c in PRICE_COLUMNS], "ticker")
+    parsed = reduce(lambda chain, n: chain.when(F.col("_names") == F.array(*map(F.lit, n)), cells(n)), orders, F)
+    return each.select(parsed.alias("_cells"), "ticker").select("_cells.*", "ticker")
+
+
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """``ticker=*`` CSV downloads, each read by its own header line; tickers stay text.
+    """``ticker=*`` CSV downloads, a file each or bundled, each read by its own header line; tickers stay text.
 
     Two passes, both native: the header lines first, then one CSV scan for each layout, which
     parses the wanted columns only and splits long files. A line with too few or too many cells
     ends the read, and so does a header that isn't a file's first line.
     """
+    if is_bundled(spark, path):
+        return shape_prices(bundled_prices(bundled_documents(spark, path, ["ticker"])[0]))
     scans = []
     for names, files in price_layouts(spark, path).items():
         wanted = {names.index(c): c for c in PRICE_COLUMNS}

@@ -61,3 +61,40 @@ def test_registered_documents_are_bundled(spark, sf_dir):
     folder = adapter.snapshot_files(spark, sf_dir)
     assert versions(spark, folder)[-1][1] == suppliers
     assert len(spark.read.parquet(current_location(spark, folder)).inputFiles()) < suppliers
+
+
+def test_bundled_prices_by_their_own_headers(spark, rows, tmp_path):
+    texts = {
+        "0700": "Date,Open,Close,Volume\n2021-01-04,1,217.5,100\r\n2021-01-05,1,,200\n",
+        "0005": "Volume,Date,\"('Close', 'a,b')\",\"('High', '0005')\"\n7,2021-01-04,1.5,2\n\n,2021-01-05,NaN,\"3\"\n",
+        "HEAD": "Date,Close,Volume",
+    }
+    for ticker, text in texts.items():
+        (tmp_path / "files" / f"ticker={ticker}").mkdir(parents=True)
+        (tmp_path / "files" / f"ticker={ticker}" / "p.csv").write_bytes(text.encode())
+    bundle(spark, tmp_path / "b", list(texts.items()), ["ticker"])
+    one, other = (payloads.read_prices(spark, str(tmp_path / k)) for k in ("files", "b"))
+    assert one.schema == other.schema
+    assert rows(one) == rows(other) and other.count() == 4
+    plan = other._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize(
+    ("text", "trouble"),
+    [
+        ("", "without the columns date, close, volume: X"),
+        (None, "without the columns"),
+        ("\n2021-01-04,1,2\n", "without the columns"),
+        ("Date,Open\n2021-01-04,1\n", "without the columns"),
+        ("Date,Close,Volume\n2021-01-04,1\n", "MALFORMED|Malformed"),
+        ("Date,Close,Volume\n2021-01-04,1,2,3\n", "MALFORMED|Malformed"),
+        ("Date,Close,Volume\n2021-01-04,one,2\n", "CAST_INVALID_INPUT"),
+        ("2021-01-04,1,2\nDate,Close,Volume\n2021-01-05,1,2\n", "without the columns"),
+        ("Date,Close,Volume\n2021-01-04,1,2\nDate,Close,Volume\n", "two headers: X"),
+    ],
+)
+def test_broken_bundled_prices_end_the_read(spark, tmp_path, text, trouble):
+    bundle(spark, tmp_path / "b", [("GOOD", "Date,Close,Volume\n2021-01-04,1,2\n"), ("X", text)], ["ticker"])
+    with pytest.raises(Exception, match=trouble):
+        payloads.read_prices(spark, str(tmp_path / "b")).collect()
