@@ -12,8 +12,8 @@ under one causal mask, and scores the last ``STRIDE`` of each, so every token is
 
 What is learned comes from all training documents: word counts, symbol counts, topics (k-means over
 documents' symbol shares, all documents in every round) and counts of symbol pairs by topic. The
-attention's small matrices are trained by gradient steps on every ``TRAIN_EVERY``-th window of all
-training documents, chunk by chunk, and averaged, for ``rounds`` rounds.
+attention's small matrices are trained by gradient steps on all windows of all training documents, chunk
+by chunk, and averaged, for ``rounds`` rounds.
 
 How it runs. Texts are coded once into chunks of about ``CHUNK_TEXT`` bytes: a dictionary of the
 chunk's words and the texts as numbers in it. Every later pass reads chunks. Word counts are summed
@@ -52,7 +52,6 @@ TOPIC_ROUNDS = 4
 SEED_DOCUMENTS = 256
 CONTEXT, STRIDE = 32, 32
 WIDTH = 16
-TRAIN_EVERY = 32
 BATCH = 512
 ATTENTION_SHARE = 0.75
 
@@ -517,11 +516,10 @@ def gradient(model: Attention, topics: np.ndarray, reduced: np.ndarray, w: Windo
     }
 
 
-def train(model: Attention, topics: np.ndarray, reduced: np.ndarray, first: np.ndarray, offset: int, rate: float = 0.02):
-    """One pass of Adam over every ``TRAIN_EVERY``-th window; the model and the windows used."""
+def train(model: Attention, topics: np.ndarray, reduced: np.ndarray, first: np.ndarray, seed: int, rate: float = 0.02):
+    """One pass of Adam over all windows in an order drawn from ``seed``; the model and the windows used."""
     windows = Windows.over(first)
-    windows = windows.pick(slice(offset % TRAIN_EVERY, None, TRAIN_EVERY))
-    order = np.random.default_rng(offset).permutation(len(windows.start))
+    order = np.random.default_rng(seed).permutation(len(windows.start))
     flat = model.parameters().astype(np.float64)
     moment, spread = np.zeros_like(flat), np.zeros_like(flat)
     size = 64
@@ -545,9 +543,9 @@ def _trained(chunked: DataFrame, model: Attention, alphabet: Alphabet, topics, r
     """Rounds of training on each chunk from the same start, averaged by the windows used."""
     for turn in range(rounds):
 
-        def taught(row, start=model, offset=turn * 7919) -> pd.DataFrame:
+        def taught(row, start=model, seed=turn * 7919) -> pd.DataFrame:
             reduced, first = _documents(row, alphabet)
-            flat, n = train(start, topics, reduced, first, offset + int(row["chunk"]) % 7919)
+            flat, n = train(start, topics, reduced, first, seed + int(row["chunk"]) % 7919)
             return pd.DataFrame({"n": [float(n)], "flat": [flat.tolist()]})
 
         rows = _each_chunk(chunked, taught, "n double, flat array<double>").where("n > 0")

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from ledgerline.llm import rules
+from ledgerline.llm import lm, rules
 
 
 def prose(seed, n=40):
@@ -38,3 +38,19 @@ def test_threshold_from_counts_is_that_of_sorted_rows(spark, share, ranges):
     rows = np.sort(np.repeat(scores, times))
     expected = rows[max(len(rows) - 1 - int(share * len(rows)), 0)]  # with a share of 1 the least of all
     assert rules.score_above(held, share, ranges) == expected
+
+
+def test_training_uses_every_window():
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 5, (lm.TOPICS, lm.BEGIN + 1, lm.RARE + 1)).astype(float)
+    first = np.array([0, 5, 140, 900])
+    reduced = rng.integers(0, lm.RARE + 1, 900)
+    reduced[first[:-1]] = lm.BEGIN
+    model, topics = lm.Attention.begin(counts, 1), lm.topic_probabilities(counts)
+    flat, n = lm.train(model, topics, reduced, first, 3)
+    assert n == len(lm.Windows.over(first).start) == 1 + 5 + 24
+    # A change in any window shows in what is learned.
+    for at in (3, 100, 130, 450, 899):
+        other = reduced.copy()
+        other[at] = (other[at] + 1) % lm.RARE
+        assert not np.array_equal(flat, lm.train(model, topics, other, first, 3)[0])
