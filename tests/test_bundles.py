@@ -98,3 +98,21 @@ def test_broken_bundled_prices_end_the_read(spark, tmp_path, text, trouble):
     bundle(spark, tmp_path / "b", [("GOOD", "Date,Close,Volume\n2021-01-04,1,2\n"), ("X", text)], ["ticker"])
     with pytest.raises(Exception, match=trouble):
         payloads.read_prices(spark, str(tmp_path / "b")).collect()
+
+
+def snapshots_of(spark, texts):
+    documents = spark.createDataFrame([(f"T{k}", text) for k, text in enumerate(texts)], "ticker string, payload string")
+    return payloads.shape_snapshot(documents, "payload")
+
+
+@pytest.mark.parametrize("added", ['],"members":[{}', '], "x" : [1', "],'x':[1", '] ,\n\t"x":[', '],"x":1,"y":[{}'])
+def test_names_smuggled_into_the_seal_end_the_read(spark, added):
+    with pytest.raises(Exception, match=r"malformed document \(.*: T1"):
+        snapshots_of(spark, ["{}", "{}" + added, "{}"]).collect()
+
+
+def test_names_are_counted_only_where_a_list_is_followed_by_one(spark, rows):
+    """Lists followed by names inside the document are no trouble; names are counted behind a test of the text."""
+    got = snapshots_of(spark, ['{"a":[1,2], "marketCap":5}', "{\"a\":[1],'b':[2]}", '{"marketCap":7}'])
+    assert rows(got, "ticker", "market_cap") == [("T0", 5), ("T1", None), ("T2", 7)]
+    assert "CASE WHEN RLIKE" in got._jdf.queryExecution().optimizedPlan().toString()
