@@ -1,5 +1,6 @@
 """What was known on a day, by hand-worked filings; and trailing totals over the calendar."""
 
+import re
 from datetime import date
 
 import pytest
@@ -123,3 +124,27 @@ def test_trailing_totals_over_the_calendar(spark, rows):
 def test_warehouse_options(spark, tmp_path):
     with pytest.raises(ValueError, match="visibility is"):
         warehouse.build_warehouse(spark, {}, str(tmp_path), visibility="never")
+
+
+def test_each_state_reads_as_the_default_on_what_was_filed(spark, rows):
+    """Runs put back into states are, day by day, the default's statements of the filings up to the day."""
+    late = [fact("operating_income", *QUARTERS[0], "2021-08-01", 12), fact("assets", None, QUARTERS[0][1], "2021-09-01", 7)]
+    late.append(fact("operating_income", *QUARTERS[0], "2021-10-01", 10))  # back to the first version
+    again = [fact("assets", None, QUARTERS[1][1], "2020-12-01", None, ticker="B"), fact("assets", None, QUARTERS[1][1], "2021-01-01", 5, ticker="B")]
+    nobody = [fact("assets", None, QUARTERS[1][1], "2020-12-01", 1, ticker=None)]
+    facts = raw(spark, year() + late + year(ticker="B") + again + nobody)
+    known = visibility.financials_as_known(visibility.fact_versions(facts))
+    read = [c for c in known.columns if not c.startswith("known_")]
+    for day in ("2020-05-01", "2020-12-01", "2021-01-01", "2021-02-15", "2021-08-01", "2021-09-01", "2021-10-01"):
+        staged = staging.stage_facts(facts.filter(f"filed <= '{day}' and ticker is not null"))
+        expected = statements.financials(statements.balance_sheet(staged), statements.income_statement(staged))
+        then = known.filter(f"known_from <= '{day}' and (known_to is null or known_to > '{day}')")
+        assert rows(then, *read) == rows(expected, *read), day
+
+
+def test_rows_of_states_are_not_shuffled(spark):
+    """Only versions and runs travel: by period, by company, by company and quarter."""
+    versions = visibility.fact_versions(raw(spark, year()))
+    plan = visibility.financials_as_known(versions)._jdf.queryExecution().executedPlan().toString()
+    dealt = {tuple(re.findall(r"(\w+)#", keys)) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)}
+    assert dealt <= {("ticker", "concept", "start", "end", "filed"), ("ticker",), ("ticker", "period_end")}
