@@ -5,6 +5,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures import adapter
 from ledgerline.plans import warehouse
 from ledgerline.sources import landing, publication
 from ledgerline.sources.publication import CheckFailed, publish, read_current
@@ -43,6 +44,33 @@ def test_sorted_ranges(spark, tmp_path):
     assert read_current(spark, path).agg(F.sum("id")).first()[0] == 30_000 * 29_999 // 2
 
 
+@pytest.mark.parametrize("rows_per_file", [1500, 1_000_000])
+def test_ranges_known_from_another_table(spark, tmp_path, monkeypatch, rows_per_file):
+    """Rows are written once, in ranges of a table with other rows too and without some of these."""
+    monkeypatch.setattr(publication, "remove", lambda *_: pytest.fail("the rows were written twice"))
+    path, df = str(tmp_path / "mart"), frame(spark, 30_000)
+    like = df.filter("ticker <> 'S5'").union(df.limit(500)).select("ticker", "day")
+    assert publish(df, path, ["ticker"], ["ticker", "day"], rows_per_file=rows_per_file, placed_by=like) == 30_000
+    got = read_current(spark, path).withColumn("file", F.input_file_name())
+    files = got.groupBy("file").agg(F.count("*").alias("n"), F.min(F.struct("ticker", "day")).alias("low"), F.max(F.struct("ticker", "day")).alias("high")).orderBy("low").collect()
+    assert len(files) == 1 if rows_per_file > 30_000 else 15 <= len(files) <= 21 and max(f["n"] for f in files) < 2 * 1500
+    assert all(tuple(a["high"]) <= tuple(b["low"]) for a, b in zip(files, files[1:], strict=False))
+    rows = [(r["ticker"], r["day"]) for r in spark.read.parquet(files[0]["file"]).collect()]
+    assert rows == sorted(rows) and got.agg(F.sum("id")).first()[0] == 30_000 * 29_999 // 2
+    nulls = df.withColumn("ticker", F.when(F.col("id") != 7, F.col("ticker")))
+    with pytest.raises(CheckFailed, match="ticker: 1"):
+        publish(nulls, path, ["ticker"], ["ticker", "day"], rows_per_file=rows_per_file, placed_by=like)
+    assert read_current(spark, path).count() == 30_000
+    assert publish(df.limit(3), path, [], ["ticker", "day"], placed_by=like.limit(0)) == 3
+
+
+def test_large_marts_are_written_once(spark, sf_dir, tmp_path, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(warehouse, "publish", lambda df, path, **rules: seen.update({path.split("/")[-1]: rules["placed_by"]}) or publish(df, path, **rules))
+    warehouse.build_warehouse(spark, adapter.raw_tables(spark, sf_dir), str(tmp_path))
+    assert {n for n, like in seen.items() if like is not None} == {"fct_financials_quarterly", "fct_valuation_daily"}
+
+
 def test_more_files_than_quantiles(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(publication, "QUANTILES", 4)
     path = str(tmp_path / "mart")
