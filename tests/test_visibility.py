@@ -148,3 +148,28 @@ def test_rows_of_states_are_not_shuffled(spark):
     plan = visibility.financials_as_known(versions)._jdf.queryExecution().executedPlan().toString()
     dealt = {tuple(re.findall(r"(\w+)#", keys)) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)}
     assert dealt <= {("ticker", "concept", "start", "end", "filed"), ("ticker",), ("ticker", "period_end")}
+
+
+def test_facts_are_listed_under_their_own_periods_changes_only(spark, rows):
+    """Rows grow with the versions; a quarter that is never filed again is one row, however many states follow it."""
+    ends = [f"{y}-{q}" for y in range(2001, 2011) for q in ("03-31", "06-30", "09-30", "12-31")]
+    facts = [fact("assets", None, end, f"{end[:8]}28", k) for k, end in enumerate(ends)]
+    facts += [fact("assets", None, ends[0], "2012-01-01", 99), fact("long_term_debt", None, ends[0], "2013-01-01", 7)]
+    known = visibility.facts_as_known(visibility.fact_versions(raw(spark, facts)))
+    assert known.count() == len(facts) and known.first()["_states"] == len(facts)
+    balance = visibility._balance_in_runs(known)
+    first = [(1, 40, 0, 0), (41, 41, 99, 0), (42, 42, 99, 7)]
+    assert rows(balance, "_first", "_last", "total_assets", "total_debt") == sorted(
+        first + [(k, 42, k - 1, 0) for k in range(2, 41)], key=lambda r: tuple(map(str, r))
+    )
+
+
+def test_filing_days_of_raw_facts_are_those_of_their_versions(spark, rows):
+    again = [fact("assets", "", "2020-03-31", "2021-05-01", 2), fact("assets", None, "2020-03-31", "2022-05-01", 9, form="8-K")]
+    nobody = [fact("assets", None, "2020-06-30", "2020-12-01", 1, ticker=None), fact("assets", None, "2020-06-30", None, 1)]
+    facts = raw(spark, year() + year() + again + nobody)
+    days = visibility.filing_days(staging.reported_facts(facts))
+    assert rows(days) == rows(visibility.filing_days(visibility.fact_versions(facts)))
+    assert [d.isoformat() for _, d in rows(days)] == ["2020-05-01", "2020-08-01", "2020-11-01", "2021-02-15", "2021-05-01"]
+    priced = ["2020-04-01", "2020-06-01", "2021-02-15", "2021-06-01"]
+    assert rows(daily(spark, facts, priced, filed_on=days)) == rows(daily(spark, facts, priced))
