@@ -36,13 +36,14 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import zstandard
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.frames import crc32_of_id, cut, small_batches
 from ledgerline.llm.subwords import encoder
-from ledgerline.llm.words import chunks, words_of
+from ledgerline.llm.words import _IS_SPACE, chunks, words_of
 
 SMOOTHING = 0.1
 CHUNK_TEXT = 6 << 20
@@ -52,11 +53,11 @@ TOPIC_ROUNDS = 4
 SEED_DOCUMENTS = 256
 CONTEXT, STRIDE = 32, 32
 WIDTH = 16
-BATCH = 512
+BATCH = 128
 ATTENTION_SHARE = 0.75
 
-#: Reduced alphabet: 0 the end, 1 to FREQUENT - 1 symbols, FREQUENT all rarer ones, then the begin.
-END, RARE, BEGIN = 0, FREQUENT, FREQUENT + 1
+#: Reduced alphabet: 0 the end, 1 to FREQUENT - 1 symbols, FREQUENT all rarer ones, then the begin; no symbol.
+END, RARE, BEGIN, NOTHING = 0, FREQUENT, FREQUENT + 1, FREQUENT + 2
 
 
 # ---- chunks ---------------------------------------------------------------------------
@@ -89,13 +90,16 @@ def _unpacked_symbols(data: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype="<i4")
 
 
+_SPACE = np.array([ord(" ")], dtype=np.uint8)
+
+
 def _spelled(words: list, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Some of the words of several groups, each after a space and before ``BREAK``; their begins."""
-    sizes = np.array([len(w.hashes) for w in words])
-    offsets = np.cumsum([0, *[len(w.data) for w in words]])
+    offsets = np.cumsum([0, *[len(w.data) + 1 for w in words]])
     begin = np.concatenate([w.starts + o for w, o in zip(words, offsets, strict=False)])[at]
-    length = np.concatenate([w.ends() - w.starts for w in words])[at] if sizes.sum() else begin
-    data = np.concatenate([w.data for w in words])
+    data = np.concatenate([x for w in words for x in (w.data, _SPACE)])
+    space = np.flatnonzero(_IS_SPACE[data])
+    length = space[np.searchsorted(space, begin)] - begin
     ends = np.cumsum(length + 2)
     out = np.zeros(int(ends[-1]), dtype=np.uint8)
     first = ends - length - 2
@@ -116,10 +120,16 @@ def code_texts(texts: list[str | None], path: str) -> tuple[np.ndarray, ...]:
     sizes = np.cumsum([0, *[len(w.hashes) for w in words]])
     ends = [w.first[1:] + n for w, n in zip(words, sizes, strict=False)]
     joined = np.concatenate([np.zeros(0, dtype=np.uint64), *[w.hashes for w in words]])
-    dictionary, at, codes = np.unique(joined, return_index=True, return_inverse=True)
-    if not len(dictionary):
+    if not len(joined):
         nothing = np.zeros(0, dtype=np.int64)
-        return np.concatenate([nothing, *ends]), nothing, dictionary, nothing, nothing
+        return np.concatenate([nothing, *ends]), nothing, joined, nothing, nothing
+    # Any occurrence of a word spells it, so the order need not be stable.
+    order = joined.argsort()
+    ordered = joined[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    dictionary, at = ordered[new], order[new]
+    codes = np.empty(len(joined), dtype=np.int64)
+    codes[order] = np.cumsum(new) - 1
     order = np.argsort(-np.bincount(codes), kind="stable")
     place = np.empty_like(order)
     place[order] = np.arange(len(order))
@@ -189,37 +199,47 @@ class Coded:
             _unpacked_symbols(row["pieces"]), np.cumsum(_unpacked(row["piece_sizes"], "<i4"), dtype=np.int64),
         )
 
-    def symbols(self, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols (begin -1, end -2) of some documents in a row; each document's start; word ends."""
+    def symbols(
+        self, documents: np.ndarray, pieces: np.ndarray | None = None, begin: int = -1, end: int = -2
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of some documents in a row; each document's start; word ends.
+
+        ``pieces`` may stand for the dictionary's symbols. The begin and the end of a document are
+        put in as words of one symbol, before its words and after them.
+        """
+        pieces = self.pieces if pieces is None else pieces
+        piece_ends = np.append(self.piece_ends, len(pieces) + np.arange(1, 3)).astype(np.int32)
+        sizes = np.diff(piece_ends, prepend=0).astype(np.int32)
         starts = np.concatenate(([0], self.ends[:-1])) if len(self.ends) else self.ends
         n_words = (self.ends - starts)[documents]
+        last = np.cumsum(n_words + 2) - 1
+        inner = np.ones(int((n_words + 2).sum()), dtype=bool)
+        inner[last] = inner[last - n_words - 1] = False
+        codes = np.full(len(inner), len(sizes) - 1, dtype=np.int32)
+        codes[last - n_words - 1] -= 1
         which = np.repeat(starts[documents] - np.cumsum(n_words) + n_words, n_words) + np.arange(n_words.sum())
-        codes = self.codes[which]
-        sizes = np.diff(self.piece_ends, prepend=0).astype(np.int32)
+        codes[inner] = self.codes[which]
         lengths = sizes[codes]
-        document = np.repeat(np.arange(len(documents), dtype=np.int32), n_words)
-        # Each document has its begin before its words and its end after them.
-        before = np.cumsum(lengths, dtype=np.int32) - lengths
-        at = before + 2 * document + 1
-        per_document = np.bincount(document, weights=lengths, minlength=len(documents)).astype(np.int64) + 2
-        first = np.cumsum(per_document) - per_document
-        out = np.full(int(per_document.sum()), -1, dtype=np.int32)
-        out[first + per_document - 1] = -2
-        step = np.arange(int(lengths.sum()), dtype=np.int32)
-        source = self.piece_ends.astype(np.int32)[codes] - lengths - before
-        out[np.repeat(at - before, lengths) + step] = self.pieces[np.repeat(source, lengths) + step]
-        return out, np.append(first, len(out)), at.astype(np.int64) + lengths - 1
-
-
-def _each_chunk(chunked: DataFrame, function, schema: str) -> DataFrame:
-    """Rows that ``function`` makes of each chunk; a chunk is one row."""
+        upto = np.cumsum(lengths, dtype=np.int32)
+        source = np.repeat(piece_ends[codes] - upto, lengths)
+        source += np.arange(len(source), dtype=np.int32)
+        out = np.append(pieces, np.array([begin, end], dtype=pieces.dtype)).take(source)
+        return out, np.concatenate(([0], upto[last])).astype(np.int64), upto[inner].astype(np.int64) - 1
+
+
+#: What a chunk's documents are read from.
+TEXTS = ("chunk", "held", "ends", "codes", "pieces", "piece_sizes")
+
+
+def _each_chunk(chunked: DataFrame, function, schema: str, columns: tuple[str, ...] = TEXTS) -> DataFrame:
+    """Rows that ``function`` makes of each chunk; a chunk is one row, of which it gets some columns."""
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, row in batch.iterrows():
                 yield function(row)
 
-    return chunked.mapInPandas(over, schema)
+    return chunked.select(*columns).mapInPandas(over, schema)
 
 
 # ---- counts ---------------------------------------------------------------------------
@@ -252,27 +272,36 @@ class Alphabet:
 
 
 def _symbol_counts(row) -> pd.DataFrame:
-    one = Coded.of(row)
-    symbols, _, _ = one.symbols(np.flatnonzero(~one.held))
-    n = np.bincount(symbols[symbols >= 0]) if (symbols >= 0).any() else np.zeros(0, dtype=np.int64)
+    """Counts over the chunk's training documents: those of its words, for each symbol of the word."""
+    times = np.repeat(_unpacked(row["trained"], "<i4"), _unpacked(row["piece_sizes"], "<i4"))
+    n = np.bincount(_unpacked_symbols(row["pieces"]), weights=times).astype(np.int64)
     found = np.flatnonzero(n)
     return pd.DataFrame({"symbol": found, "n": n[found]})
 
 
-def shares(reduced: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Square roots of the shares of each symbol in each document."""
+def _counted(reduced: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """How often each symbol is in each document."""
     n = len(first) - 1
     document = np.repeat(np.arange(n), np.diff(first))
     counts = np.bincount(document * (BEGIN + 1) + reduced, minlength=n * (BEGIN + 1)).reshape(n, BEGIN + 1)
-    counts = counts[:, : RARE + 1].astype(np.float32)
+    return counts[:, : RARE + 1]
+
+
+def _shares_of(counts: np.ndarray) -> np.ndarray:
+    counts = counts.astype(np.float32)
     return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
 
 
+def shares(reduced: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Square roots of the shares of each symbol in each document."""
+    return _shares_of(_counted(reduced, first))
+
+
 def _documents(row, alphabet: Alphabet, keep: np.ndarray | None = None):
     one = Coded.of(row)
     chosen = np.flatnonzero(~one.held) if keep is None else keep
-    symbols, first, _ = one.symbols(chosen)
-    return alphabet.reduced(symbols), first
+    reduced, first, _ = one.symbols(chosen, alphabet.number[one.pieces], BEGIN, END)
+    return reduced, first
 
 
 def _seeds(chunked: DataFrame, alphabet: Alphabet) -> np.ndarray:
@@ -296,7 +325,7 @@ def _seeds(chunked: DataFrame, alphabet: Alphabet) -> np.ndarray:
             {"order": names[picked], "share": pd.Series([s.tolist() for s in shares(reduced, first)], dtype=object)}
         )
 
-    rows = _each_chunk(chunked, some, "order long, share array<float>").orderBy("order", "share").limit(SEED_DOCUMENTS).toPandas()
+    rows = _each_chunk(chunked, some, "order long, share array<float>", ("doc_ids", *TEXTS)).orderBy("order", "share").limit(SEED_DOCUMENTS).toPandas()
     x = np.array(rows["share"].tolist(), dtype=np.float32)
     centres = [x.mean(axis=0)]
     for _ in range(TOPICS):
@@ -309,19 +338,27 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return ((centres**2).sum(axis=1) - 2 * x @ centres.T).argmin(axis=1)
 
 
-def _moved(chunked: DataFrame, alphabet: Alphabet, centres: np.ndarray) -> np.ndarray:
+def _counts_by_document(chunked: DataFrame, alphabet: Alphabet) -> DataFrame:
+    """Each chunk's counts by training document and symbol, computed once for all rounds."""
+
+    def counted(row) -> pd.DataFrame:
+        return pd.DataFrame({"counts": [_packed(_counted(*_documents(row, alphabet)).ravel(), "<i4")]})
+
+    return cut(_each_chunk(chunked, counted, "counts binary"))
+
+
+def _moved(counted: DataFrame, centres: np.ndarray) -> np.ndarray:
     """The centres' means over all training documents."""
 
     def sums(row) -> pd.DataFrame:
-        reduced, first = _documents(row, alphabet)
-        x = shares(reduced, first)
+        x = _shares_of(_unpacked(row["counts"], "<i4").reshape(-1, RARE + 1))
         of = nearest(x, centres)
         member = (of[:, None] == np.arange(TOPICS)).astype(np.float32)
         return pd.DataFrame(
             {"topic": np.arange(TOPICS), "n": member.sum(axis=0), "total": [t.tolist() for t in (member.T @ x).astype(float)]}
         )
 
-    rows = _each_chunk(chunked, sums, "topic int, n double, total array<double>")
+    rows = _each_chunk(counted, sums, "topic int, n double, total array<double>", ("counts",))
     spread = rows.select("topic", "n", F.posexplode("total").alias("at", "part"))
     total = spread.groupBy("topic", "at").agg(F.sum("n").alias("n"), F.sum("part").alias("part")).toPandas()
     out = centres.copy()
@@ -365,7 +402,7 @@ def topic_probabilities(counts: np.ndarray, backing: float = 20.0) -> np.ndarray
 
 @dataclass
 class Attention:
-    """``symbols`` describes each symbol by its topics; the matrices are trained."""
+    """``symbols`` describes each symbol by its topics, its last part is 1; the matrices are trained."""
 
     symbols: np.ndarray
     query: np.ndarray
@@ -403,10 +440,10 @@ class Attention:
         return np.concatenate([getattr(self, n).ravel() for n in self.TRAINED])
 
     def with_parameters(self, flat: np.ndarray) -> Attention:
-        at, parts = 0, {}
+        at, parts, flat = 0, {}, np.asarray(flat, dtype=np.float32)
         for n in self.TRAINED:
             old = getattr(self, n)
-            parts[n] = np.asarray(flat[at : at + old.size], dtype=np.float32).reshape(old.shape)
+            parts[n] = flat[at : at + old.size].reshape(old.shape)
             at += old.size
         return replace(self, **parts)
 
@@ -433,103 +470,156 @@ class Windows:
 
 
 _STEP = np.arange(STRIDE)
-_BACK = np.arange(CONTEXT + STRIDE) - CONTEXT
-#: How far before the scored position a seen position lies; it must lie before it.
-_DISTANCE = _STEP[:, None] - _BACK[None, :]
-_CAUSAL = _DISTANCE > 0
-
-
-def _look(model: Attention, tables, reduced: np.ndarray, w: Windows):
-    """Scored positions, their mask, and attention weights over the positions before them."""
-    queries, keys, values = tables
-    at = w.start[:, None] + _STEP
-    scored = at < w.end[:, None]
-    at = np.minimum(at, w.end[:, None] - 1)
-    seen = w.start[:, None] + _BACK
-    inside = seen >= w.first[:, None]
-    seen = np.clip(seen, 0, len(reduced) - 1)
-    before, around = reduced[at - 1], reduced[seen]
-    weights = queries[before] @ keys[around].transpose(0, 2, 1)
-    weights += np.where(_CAUSAL, model.near[np.clip(_DISTANCE - 1, 0, CONTEXT + STRIDE - 1)], -np.inf).astype(np.float32)
-    np.minimum(weights, 60, out=weights)
-    np.exp(weights, out=weights)
-    weights *= inside[:, None, :]
-    weights /= weights.sum(axis=2, keepdims=True) + np.float32(1e-30)
-    return at, scored, before, around, weights, values[around]
+_SPAN = np.arange(CONTEXT + STRIDE)
+#: How far before the scored position (second axis) a seen position (first axis) lies; it must lie before it.
+_DISTANCE = _STEP[None, :] - _SPAN[:, None] + CONTEXT
+_FURTHER = np.where(_DISTANCE > 0, _DISTANCE - 1, CONTEXT + STRIDE)
+
+
+def _by_start(reduced: np.ndarray) -> np.ndarray:
+    """A view of the symbols around each possible start of a window."""
+    out = np.full(len(reduced) + CONTEXT + STRIDE, END, dtype=np.int16)
+    out[CONTEXT : CONTEXT + len(reduced)] = reduced
+    return sliding_window_view(out, CONTEXT + STRIDE)
 
 
-def _tables(model: Attention) -> tuple[np.ndarray, ...]:
-    scale = np.float32(1 / np.sqrt(WIDTH))
-    return model.symbols @ model.query * scale, model.symbols @ model.key, model.symbols @ model.value
+def _seen(by_start: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of each window, ``NOTHING`` before the document; which of its last ``STRIDE`` are scored."""
+    seen = by_start[w.start].astype(np.intp)
+    np.putmask(seen, _SPAN < (w.first - w.start + CONTEXT)[:, None], NOTHING)
+    return seen, _STEP < (w.end - w.start)[:, None]
 
 
-def _topic_weights(model: Attention, mixed: np.ndarray) -> np.ndarray:
-    logits = mixed @ model.out + model.bias
-    logits -= logits.max(axis=2, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
-    return logits
+def _told(model: Attention) -> tuple[np.ndarray, np.ndarray]:
+    """A row for each symbol, and a column; those of ``NOTHING`` are zero, so it has no part in any sum."""
+    rows = np.concatenate([model.symbols, np.zeros_like(model.symbols[:1])])
+    return rows, np.ascontiguousarray(rows.T)
+
+
+@dataclass
+class Look:
+    """What a model sees in some windows; places are their scored positions, one after another.
+
+    Scores depend on symbols alone, by one matrix of what symbols tell, and so do values. So weights
+    are applied to what the seen symbols tell (its last part is 1 and sums up the weights), and only
+    the result, a few numbers for each place, is taken through the model's matrices.
+    """
+
+    before: np.ndarray  # (told, place)
+    around: np.ndarray  # (window, seen, told)
+    weights: np.ndarray  # (window, seen, scored), not yet divided by their sums
+    total: np.ndarray
+    mixed: np.ndarray  # (told, place), divided by the sums
+    gate: np.ndarray  # (topic, place)
+    said: np.ndarray  # (topic, place)
+
+
+def _weighted(around: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """(told, place): what the seen symbols tell, added up by weights (window, seen, scored)."""
+    out = np.empty((around.shape[2], len(around), STRIDE), dtype=weights.dtype)
+    np.matmul(around.transpose(0, 2, 1), weights, out=out.transpose(1, 0, 2))
+    return out.reshape(around.shape[2], -1)
+
+
+def _scale(model: Attention):
+    return model.query.dtype.type(1 / np.sqrt(WIDTH))
+
+
+def _room(windows: int, kind: np.dtype) -> np.ndarray:
+    """Memory for the weights of some windows, used again and again."""
+    return np.empty((windows, CONTEXT + STRIDE, STRIDE), dtype=kind)
+
+
+def _look(model: Attention, told: tuple[np.ndarray, np.ndarray], topics: np.ndarray, seen: np.ndarray, room: np.ndarray) -> Look:
+    """``topics`` has a row for each pair of symbols; the weights are put into ``room``."""
+    symbol, following = seen[:, CONTEXT - 1 : -1].ravel(), np.minimum(seen[:, CONTEXT:], RARE).ravel()
+    before, around = told[1].take(symbol, axis=1), told[0].take(seen, axis=0)
+    answers = model.key @ model.query.T * _scale(model)
+    asked = (answers @ before).reshape(-1, len(seen), STRIDE).transpose(1, 0, 2)
+    weights = np.matmul(around, asked, out=room[: len(seen)])
+    weights += np.append(model.near, model.near.dtype.type(-np.inf)).take(_FURTHER)
+    if weights.max() > 60:
+        np.minimum(weights, 60, out=weights)
+    np.exp(weights, out=weights)
+    mixed = _weighted(around, weights)
+    total = mixed[-1] + mixed.dtype.type(1e-30)
+    mixed *= 1 / total
+    gate = (model.value @ model.out).T @ mixed
+    gate += model.bias[:, None]
+    gate -= gate.max(axis=0)
+    np.exp(gate, out=gate)
+    gate *= 1 / gate.sum(axis=0)
+    said = gate * topics.take(symbol * (RARE + 1) + following, axis=0).T
+    return Look(before, around, weights, total, mixed, gate, said)
 
 
 def symbol_scores(model: Attention, topics: np.ndarray, reduced: np.ndarray, first: np.ndarray) -> np.ndarray:
     """log10 of each position's probability given its document before it; 0 at the begins."""
     out = np.zeros(len(reduced), dtype=np.float32)
-    tables, windows = _tables(model), Windows.over(first)
+    windows, by_start, told = Windows.over(first), _by_start(reduced), _told(model)
+    pairs, room = topics.reshape(-1, topics.shape[2]), _room(BATCH, model.query.dtype)
     for k in range(0, len(windows.start), BATCH):
         w = windows.pick(slice(k, k + BATCH))
-        at, scored, before, _, weights, values = _look(model, tables, reduced, w)
-        gate = _topic_weights(model, weights @ values)
-        p = np.einsum("wsg,wsg->ws", gate, topics[before, reduced[at]])
-        out[at[scored]] = np.log10(p[scored])
+        seen, scored = _seen(by_start, w)
+        p = _look(model, told, pairs, seen, room).said.sum(axis=0).reshape(scored.shape)
+        out[(w.start[:, None] + _STEP)[scored]] = np.log10(p[scored])
     return out
 
 
-def gradient(model: Attention, topics: np.ndarray, reduced: np.ndarray, w: Windows) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean log likelihood of the scored positions and its gradient."""
-    tables = _tables(model)
-    at, scored, before, around, weights, values = _look(model, tables, reduced, w)
-    mixed = weights @ values
-    gate = _topic_weights(model, mixed)
-    said = gate * topics[before, reduced[at]]
-    p = said.sum(axis=2)
-    n = max(int(scored.sum()), 1)
-    up = (said / p[:, :, None] - gate) * scored[:, :, None] / n
-    d_mixed = up @ model.out.T
-    d_weights = d_mixed @ values.transpose(0, 2, 1)
-    d_values = weights.transpose(0, 2, 1) @ d_mixed
-    d_raw = weights * (d_weights - (d_weights * weights).sum(axis=2, keepdims=True))
-    scale = np.float32(1 / np.sqrt(WIDTH))
-    d_query = d_raw @ tables[1][around] * scale
-    d_key = d_raw.transpose(0, 2, 1) @ tables[0][before]
-    near = np.bincount(
-        np.maximum(_DISTANCE - 1, 0).ravel(), weights=np.where(_CAUSAL, d_raw.sum(axis=0), 0).ravel(), minlength=CONTEXT + STRIDE
-    )
-    told_before, told_around = model.symbols[before], model.symbols[around]
-    flat = lambda a: a.reshape(-1, a.shape[-1])
-    return float(np.log(p[scored]).mean()) if scored.any() else 0.0, {
-        "query": flat(told_before).T @ flat(d_query),
-        "key": flat(told_around).T @ flat(d_key),
-        "value": flat(told_around).T @ flat(d_values),
-        "out": flat(mixed).T @ flat(up),
-        "bias": up.sum(axis=(0, 1)),
+def _slopes(model: Attention, at: Look, p: np.ndarray, scored: np.ndarray, room: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of the mean log likelihood of the scored places, whose probabilities are ``p``."""
+    share = scored.ravel() * p.dtype.type(1 / max(int(scored.sum()), 1))
+    up = at.said * (share / p)
+    up -= at.gate * share
+    by_topic = at.mixed @ up.T
+    # A weight's slope is what its seen symbol tells times these, a row for each part of it.
+    down = model.value @ model.out @ up
+    down[-1] -= np.einsum("tp,tp->p", down, at.mixed)
+    down *= 1 / at.total
+    d_raw = np.matmul(at.around, down.reshape(len(down), -1, STRIDE).transpose(1, 0, 2), out=room[: len(at.around)])
+    d_raw *= at.weights
+    by_pair = at.before @ _weighted(at.around, d_raw).T * _scale(model)
+    by_place = np.ones(len(d_raw), dtype=d_raw.dtype) @ d_raw.reshape(len(d_raw), -1)
+    near = np.bincount(_FURTHER.ravel(), weights=by_place)
+    return {
+        "query": by_pair @ model.key,
+        "key": by_pair.T @ model.query,
+        "value": by_topic @ model.out.T,
+        "out": model.value.T @ by_topic,
+        "bias": up.sum(axis=1),
         "near": near[: CONTEXT + STRIDE],
     }
 
 
+def gradient(model: Attention, topics: np.ndarray, reduced: np.ndarray, w: Windows) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean log likelihood of the scored positions and its gradient."""
+    seen, scored = _seen(_by_start(reduced), w)
+    rooms = [_room(len(seen), model.query.dtype) for _ in range(2)]
+    at = _look(model, _told(model), topics.reshape(-1, topics.shape[2]), seen, rooms[0])
+    p = at.said.sum(axis=0)
+    return float(np.log(p[scored.ravel()]).mean()) if scored.any() else 0.0, _slopes(model, at, p, scored, rooms[1])
+
+
 def train(model: Attention, topics: np.ndarray, reduced: np.ndarray, first: np.ndarray, seed: int, rate: float = 0.02):
     """One pass of Adam over all windows in an order drawn from ``seed``; the model and the windows used."""
     windows = Windows.over(first)
-    order = np.random.default_rng(seed).permutation(len(windows.start))
+    n = len(windows.start)
+    windows = windows.pick(np.random.default_rng(seed).permutation(n))
+    by_start, told, pairs = _by_start(reduced), _told(model), topics.reshape(-1, topics.shape[2])
     flat = model.parameters().astype(np.float64)
     moment, spread = np.zeros_like(flat), np.zeros_like(flat)
     size = 64
-    for t, k in enumerate(range(0, len(order), size), start=1):
-        _, slopes = gradient(model.with_parameters(flat), topics, reduced, windows.pick(order[k : k + size]))
+    rooms = [_room(size, model.query.dtype) for _ in range(2)]
+    for t, k in enumerate(range(0, n, size), start=1):
+        seen, scored = _seen(by_start, windows.pick(slice(k, k + size)))
+        now = model.with_parameters(flat)
+        at = _look(now, told, pairs, seen, rooms[0])
+        slopes = _slopes(now, at, at.said.sum(axis=0), scored, rooms[1])
         g = np.concatenate([slopes[n].ravel() for n in Attention.TRAINED])
         moment += 0.1 * (g - moment)
         spread += 0.01 * (g * g - spread)
         flat += rate / (1 + 0.02 * t) * (moment / (1 - 0.9**t)) / (np.sqrt(spread / (1 - 0.99**t)) + 1e-8)
-    return flat, len(order)
+    return flat, n
 
 
 # ---- tables ---------------------------------------------------------------------------
@@ -573,17 +663,18 @@ def score_documents(docs: DataFrame, tokenizer: str, rounds: int = 2, seed: int
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held"))
     chunked = cut(rows.mapInPandas(_code_chunks(tokenizer), CHUNK))
 
-    words = _each_chunk(chunked, _dictionary, "word long, chunk long, code int, n long")
-    totals = words.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0").agg(F.sum("n"), F.count("*")).first()
+    words = _each_chunk(chunked, _dictionary, "word long, chunk long, code int, n int", ("chunk", "hashes", "trained"))
+    totals = words.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")).agg(F.sum("n"), F.count("*")).first()
     n_ends = chunked.select(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     n_tokens, n_types = int(totals[0] or 0) + n_ends, totals[1] + (n_ends > 0)
 
     size = encoder(tokenizer).tokenizer.get_vocab_size()
-    counted = _each_chunk(chunked, _symbol_counts, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
-    alphabet = Alphabet.of(counted.toPandas(), size)
+    by_symbol = _each_chunk(chunked, _symbol_counts, "symbol int, n long", ("trained", "pieces", "piece_sizes")).groupBy("symbol").agg(F.sum("n").alias("n"))
+    alphabet = Alphabet.of(by_symbol.toPandas(), size)
     centres = _seeds(chunked, alphabet)
+    counted = _counts_by_document(chunked, alphabet)
     for _ in range(TOPIC_ROUNDS):
-        centres = _moved(chunked, alphabet, centres)
+        centres = _moved(counted, centres)
     counts = _pair_counts(chunked, alphabet, centres)
     topics = topic_probabilities(counts)
     model = _trained(chunked, Attention.begin(counts, seed), alphabet, topics, rounds)

@@ -20,6 +20,8 @@ from ledgerline.llm.words import chunks, span_hashes
 #: Slots for remembered units, and the number of remembered units after which all are forgotten.
 SLOTS = 1 << 21
 REMEMBERED = 1_500_000
+#: New units that are encoded as one text, where they may lie side by side.
+JOINED = 64
 CHUNK_BYTES = 1 << 20
 BREAK = 0  # a byte between texts
 
@@ -55,12 +57,19 @@ def unit_starts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes texts, remembering units; memory is bounded whatever the texts hold."""
 
+    #: How many bytes each id stands for, where units can be told apart by that.
+    piece_bytes: np.ndarray | None = None
+
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # A piece of a byte-level file has a character for each byte.
+        self.piece_bytes = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for piece, number in self.tokenizer.get_vocab().items():
+            self.piece_bytes[number] = len(piece)
         self.forget()
 
     def forget(self) -> None:
@@ -71,22 +80,44 @@ class Encoder:
         self.length = np.zeros(1 << 16, dtype=np.int32)
         self.units = self.used = 0
 
+    def _apart(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, how many each has)."""
+        found = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, dtype=np.uint32), *found]), np.array([len(f) for f in found], dtype=np.int64)
+
+    def _encoded(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, how many each has).
+
+        Units that begin with a space before a visible character and end with a visible one are cut
+        from each other where they lie side by side, so many are encoded as one text: a text of its
+        own costs a unit more than its ids do.
+        """
+        if self.piece_bytes is None or any(b" " in s for s in self.special):
+            return self._apart(units)
+        alone = [not (len(u) > 1 and u[0] == " " and " " < u[1] < "\x7f" and " " < u[-1] < "\x7f") for u in units]
+        order, n = np.argsort(alone, kind="stable"), len(units) - sum(alone)
+        placed = [units[k] for k in order.tolist()]
+        flat, _ = self._apart(["".join(placed[j : min(j + JOINED, n)]) for j in range(0, n, JOINED)] + placed[n:])
+        ends = np.searchsorted(np.cumsum(self.piece_bytes[flat]), np.cumsum([len(u.encode()) for u in placed])) + 1
+        first, counts = np.zeros_like(ends), np.zeros_like(ends)
+        counts[order] = np.diff(ends, prepend=0)
+        first[order] = ends - counts[order]
+        return flat[np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(len(flat))], counts
+
     def _add(self, units: list[str]) -> np.ndarray:
         """Numbers of newly encoded units."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        lengths = np.array([len(f) for f in found], dtype=np.int64)
-        flat = np.fromiter((i for f in found for i in f), dtype=np.uint32, count=int(lengths.sum()))
+        flat, lengths = self._encoded(units)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.units + len(found) > len(self.at):
+        while self.units + len(lengths) > len(self.at):
             self.at = np.concatenate([self.at, np.zeros_like(self.at)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        numbers = np.arange(self.units, self.units + len(found))
+        numbers = np.arange(self.units, self.units + len(lengths))
         self.ids[self.used : self.used + len(flat)] = flat
         self.at[numbers] = self.used + np.cumsum(lengths) - lengths
         self.length[numbers] = lengths
         self.used += len(flat)
-        self.units += len(found)
+        self.units += len(lengths)
         return numbers
 
     def numbers(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -100,7 +131,7 @@ class Encoder:
             ends = np.append(starts[1:], len(data))
             raw = data.tobytes()
             where = missed[first]
-            added = self._add([raw[starts[i] : ends[i]].decode() for i in where])
+            added = self._add([raw[i:j].decode() for i, j in zip(starts[where].tolist(), ends[where].tolist(), strict=True)])
             numbers[missed] = added[back]
             slot = (new >> np.uint64(64 - 21)).astype(np.int64)
             self.keys[slot], self.unit_of[slot] = new, added

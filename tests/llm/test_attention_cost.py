@@ -1,0 +1,108 @@
+"""The language model's passes: the same numbers as written out plainly, at less cost."""
+
+from __future__ import annotations
+
+import tracemalloc
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from ledgerline.llm import lm, subwords
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def drawn(sizes, seed=4):
+    rng = np.random.default_rng(seed)
+    counts = rng.integers(0, 5, (lm.TOPICS, lm.BEGIN + 1, lm.RARE + 1)).astype(float)
+    first = np.cumsum([0, *sizes])
+    reduced = rng.integers(0, lm.RARE + 1, first[-1])
+    reduced[first[:-1]] = lm.BEGIN
+    return lm.Attention.begin(counts, 1), lm.topic_probabilities(counts), reduced, first
+
+
+def plain(model, topics, reduced, first):
+    """log10 probabilities, place by place."""
+    out = np.zeros(len(reduced))
+    for b, e in zip(first[:-1], first[1:], strict=True):
+        for i in range(b + 1, e):
+            seen = np.arange(max(b, i - (i - b - 1) % lm.STRIDE - lm.CONTEXT), i)
+            told = model.symbols[reduced[seen]].astype(float)
+            logits = (told @ model.key) @ (model.symbols[reduced[i - 1]].astype(float) @ model.query) / np.sqrt(lm.WIDTH)
+            weights = np.exp(np.minimum(logits + model.near[i - seen - 1], 60))
+            gate = weights / (weights.sum() + 1e-30) @ told @ model.value @ model.out + model.bias
+            gate = np.exp(gate - gate.max())
+            out[i] = np.log10(gate / gate.sum() @ topics[reduced[i - 1], reduced[i]])
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[1, 2, 33, 34, 150], [2], [65, 97]])
+@pytest.mark.parametrize("scale", [0.3, 4.0])
+def test_scores_are_those_written_out_plainly(sizes, scale):
+    model, topics, reduced, first = drawn(sizes)
+    noise = np.random.default_rng(1).normal(0, scale, len(model.parameters()))
+    model = model.with_parameters(model.parameters() + noise * (np.arange(len(noise)) < 352))
+    model.near[:] = np.random.default_rng(2).normal(0, 1, len(model.near))
+    assert lm.symbol_scores(model, topics, reduced, first) == pytest.approx(plain(model, topics, reduced, first), rel=2e-2, abs=2e-3)
+
+
+def peak(function):
+    function()
+    tracemalloc.start()
+    try:
+        function()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_scoring_and_training_hold_few_weights_at_once():
+    model, topics, reduced, first = drawn([700] * 60)
+    assert peak(lambda: lm.symbol_scores(model, topics, reduced, first)) < 8 << 20
+    assert peak(lambda: lm.train(model, topics, reduced[: first[8]], first[:9], 3)) < 4 << 20
+
+
+def test_new_units_are_encoded_many_at_once():
+    one, whole = subwords.Encoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    texts = [f" w{i}x{i * 7919 % 1000}" for i in range(2000)] + [" é", " xé", "é x", " ", "  a", " a ", "   a", "a's b", "", "\n\nx y\n"]
+    units = [" ".join(texts), *texts]
+    given = []
+
+    class Counting:
+        def encode_batch_fast(self, some, add_special_tokens):
+            given.extend(some)
+            return whole.encode_batch_fast(some, add_special_tokens=add_special_tokens)
+
+        def encode(self, *args, **named):
+            return whole.encode(*args, **named)
+
+    one.tokenizer = Counting()
+    ids, at = one.encode([u.encode() for u in units])
+    for k, u in enumerate(units):
+        assert ids[at[k] : at[k + 1]].tolist() == whole.encode(u, add_special_tokens=False).ids
+    assert len(given) < one.units / 8
+
+
+def test_topics_move_by_counts_made_once(spark):
+    texts = [None, "", "a b a", *[f"word{i % 7} other {i} " * (i % 5) for i in range(40)]]
+    rows = spark.createDataFrame([(i, t, i % 10 == 0) for i, t in enumerate(texts)], "doc_id long, text string, held boolean")
+    chunked = lm.cut(rows.repartition(2).mapInPandas(lm._code_chunks(BYTE_BPE), lm.CHUNK))
+    counts = lm._each_chunk(chunked, lm._symbol_counts, "symbol int, n long", ("trained", "pieces", "piece_sizes")).groupBy("symbol").sum("n").toPandas()
+    found = dict(zip(counts["symbol"], counts["sum(n)"], strict=True))
+    expected, shares = {}, []
+    kept = [lm.Coded.of(r) for r in chunked.collect()]
+    symbols = [one.symbols(np.flatnonzero(~one.held)) for one in kept]
+    for s, _, _ in symbols:
+        for x in s[s >= 0].tolist():
+            expected[x] = expected.get(x, 0) + 1
+    assert found == expected
+    alphabet = lm.Alphabet.of(counts.rename(columns={"sum(n)": "n"}), 50257)
+    shares = np.concatenate([lm.shares(alphabet.reduced(s), first) for s, first, _ in symbols])
+    centres = shares[: lm.TOPICS]
+    nearest = lm.nearest(shares, centres)
+    moved = lm._moved(lm._counts_by_document(chunked, alphabet), centres)
+    for t in range(lm.TOPICS):
+        own = shares[nearest == t]
+        assert moved[t] == pytest.approx(own.mean(axis=0) if len(own) else centres[t], abs=1e-6)
